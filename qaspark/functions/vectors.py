@@ -49,5 +49,5 @@ def softmax_mean(values: Column) -> Column:
 
 
 def hash_int(text: Column) -> Column:
-    """First 32 bits of the md5 digest as a non-negative long."""
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    """First 60 bits of the md5 digest as a non-negative long."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")

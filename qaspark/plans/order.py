@@ -27,18 +27,18 @@ def _offsets(totals: DataFrame) -> DataFrame:
 
 def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "row_no") -> DataFrame:
     """Add the 0-based global position of each row under ``order``, which has to be a total order."""
-    slot = F.col("_slot")
+    ordinal = F.col("_ordinal")
     placed = (
         _ranged(df, order)
-        .withColumn("_slot", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright(slot, _POSITION_BITS))
-        .withColumn("_at", slot.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
+        .withColumn("_ordinal", F.monotonically_increasing_id())
+        .withColumn("_part", F.shiftright(ordinal, _POSITION_BITS))
+        .withColumn("_at", ordinal.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
     )
     offsets = _offsets(placed.groupBy("_part").agg((F.max("_at") + 1).alias("_total")))
     return (
         placed.join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_before") + F.col("_at"))
-        .drop("_slot", "_part", "_at", "_before")
+        .drop("_ordinal", "_part", "_at", "_before")
     )
 
 
