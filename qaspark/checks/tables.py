@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from qaspark.functions.bind import let
 from qaspark.functions.tokens import space_offsets
+from qaspark.sources.readers import read_table
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -14,7 +15,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def corpus(spark: SparkSession, folder: str) -> DataFrame:
     """Passages: the source is the title, the language the domain."""
-    return table(spark, folder, "documents").select(
+    documents = read_table(spark, f"{folder}/documents.parquet", spread_by="doc_id")
+    return documents.select(
         "doc_id", "text", F.col("source").alias("title"), F.col("lang").alias("domain")
     )
 

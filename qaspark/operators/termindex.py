@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from qaspark.functions.tokens import Scheme, term_counts, tokenize, with_bigrams
 from qaspark.plans.broadcasts import BLOCK_BYTES, split_blocks, union_all
 from qaspark.plans.topk import topk_per
+from qaspark.session import store
 
 SCORE_DIGITS = 6  # scores are compared after rounding, so ties do not depend on summation order
 
@@ -86,7 +87,8 @@ def per_block(
     returns the (doc_id, term, weight) rows for them.
     """
     parts = []
-    for block in split_blocks(weighted_questions, "qid", block_bytes):
+    asked = store(weighted_questions, "asked")  # read again for measuring and by every block
+    for block in split_blocks(asked, "qid", block_bytes):
         vocabulary = F.broadcast(block.select("term", "idf").distinct())
         weights = doc_weights(vocabulary).select("doc_id", "term", "weight").repartition("doc_id")
         parts.append(finish(score_pairs(weights, block.select("qid", "term", "qweight"))))

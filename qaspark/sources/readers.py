@@ -7,6 +7,28 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from qaspark.sources.schemas import LONGDOC, NBEST_ENTRY, PASSAGE, QA, SQUAD
 
 
+SMALL_INPUT = 1 << 30
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files below ``path``, from the file system's own records."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+
+
+def read_table(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
+    """A Parquet table. ``spread_by`` is for heavy per-row work on few files.
+
+    A file is split by row group at best, so a small table may arrive in a single task. Such a
+    table is spread over the cores by its key; a table above ``SMALL_INPUT`` has splits enough
+    and is read as it lies.
+    """
+    rows = spark.read.parquet(path)
+    if spread_by is None or stored_bytes(spark, path) > SMALL_INPUT:
+        return rows
+    return rows.repartition(spark.sparkContext.defaultParallelism, spread_by)
+
+
 def _map_entries(spark: SparkSession, path: str, value: T.DataType) -> DataFrame:
     """Files that hold one JSON object each: one row per entry (key, value, file)."""
     whole = spark.read.text(path, wholetext=True).withColumn("file", F.col("_metadata.file_path"))
