@@ -2,29 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BLOCK_BYTES = 64 << 20
 _ROW_OVERHEAD = 32
 
 
+def _width(column: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)).cast("long")
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType)):
+            return F.coalesce(
+                F.aggregate(
+                    column,
+                    F.lit(_ROW_OVERHEAD).cast("long"),
+                    lambda total, one: total + 8 + _width(one, kind.elementType),
+                ),
+                F.lit(0),
+            )
+        return F.greatest(F.size(column), F.lit(0)).cast("long") * 8
+    return F.lit(8).cast("long")
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Size of the rows, added up by Spark (strings and arrays by content, 8 bytes otherwise)."""
-    size = F.lit(_ROW_OVERHEAD)
+    size = F.lit(_ROW_OVERHEAD).cast("long")
     for field in df.schema.fields:
-        column = F.col(field.name)
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            width = F.coalesce(F.octet_length(column), F.lit(0))
-        elif isinstance(field.dataType, T.ArrayType):
-            width = F.greatest(F.size(column), F.lit(0)) * 8
-        else:
-            width = F.lit(8)
-        size = size + width
-    return int(df.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0])
+        size = size + _width(F.col(field.name), field.dataType)
+    return int(df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0])
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BLOCK_BYTES) -> DataFrame:
-    """Broadcast hint when the measured size allows it; otherwise Spark shuffles both sides."""
+    """Broadcast hint when the measured size allows it; otherwise Spark shuffles both sides.
+
+    Measuring runs ``df`` once, so give it stored rows.
+    """
     return F.broadcast(df) if measured_bytes(df) <= limit else df
 
 
