@@ -17,7 +17,7 @@ BATCH = 8  # rows of one training batch
 
 
 def vectors(spark, folder):
-    rows = read_table(spark, f"{folder}/embeddings.parquet", spread_by="vec_id")
+    rows = read_table(spark, f"{folder}/embeddings.parquet", spread_by=["vec_id"])
     return rows.select("vec_id", "embedding", "label")
 
 

@@ -212,9 +212,7 @@ def nbest_scan(spark, folder):
         decoded = decode.decode_spans(
             scored_chunks(spark, folder, model), _examples(spark, folder), max_answer_len=4
         )
-        writers.write_predictions(
-            decoded.select("id", "prediction_text"), decode.nbest_rows(decoded), path, model
-        )
+        writers.write_predictions(decoded, path, model)
     rows = readers.read_nbest_lines(spark, f"{path}/nbest_predictions_*")
     return rows.select("model", "weight", "id", "rank", "text", F.round("probability", 6).alias("probability"))
 

@@ -15,12 +15,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def corpus(spark: SparkSession, folder: str) -> DataFrame:
     """Passages: the source is the title, the language the domain."""
-    documents = read_table(spark, f"{folder}/documents.parquet", spread_by="doc_id")
+    documents = read_table(spark, f"{folder}/documents.parquet", spread_by=["doc_id"])
     return documents.select(
         "doc_id", "text", F.col("source").alias("title"), F.col("lang").alias("domain")
     )
 
 
+def pages_table(spark: SparkSession, folder: str) -> DataFrame:
+    return read_table(spark, f"{folder}/pages.parquet", ["page_id"])
+
+
 def questions(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "benchmark").select(
         F.col("item_id").alias("qid"), F.col("text").alias("question")
@@ -29,7 +33,7 @@ def questions(spark: SparkSession, folder: str) -> DataFrame:
 
 def dialogue_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """A user turn is a question, the assistant turn that follows it is its context."""
-    turns = table(spark, folder, "conversations")
+    turns = read_table(spark, f"{folder}/conversations.parquet", ["conv_id", "turn"])
     asked = turns.filter("role = 'user'").select(
         "conv_id", "turn", F.col("text").alias("question")
     )

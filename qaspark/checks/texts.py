@@ -10,6 +10,7 @@ from qaspark.checks.tables import (
     SQL_QA,
     corpus,
     dialogue_pairs,
+    pages_table,
     qa,
     sql_tokens,
     table,
@@ -25,7 +26,7 @@ def raw_pages(spark, folder):
     """Pages as long-document questions; the answer is what the first heading holds."""
     html = F.col("html")
     start = F.instr(html, "<h1>") + 3
-    return table(spark, folder, "pages").select(
+    return pages_table(spark, folder).select(
         "page_id",
         F.floor(F.col("page_id") / 50).alias("file_no"),
         F.col("url").alias("title"),
@@ -41,17 +42,17 @@ def cleaned_pages(spark, folder):
 
 
 def html_clean_context(spark, folder):
-    pages = table(spark, folder, "pages")
+    pages = pages_table(spark, folder)
     return pages.select("page_id", tx.clean_context(F.col("html")).alias("cleaned"))
 
 
 def html_clean_answer(spark, folder):
-    pages = table(spark, folder, "pages")
+    pages = pages_table(spark, folder)
     return pages.select("page_id", tx.clean_answer(F.col("html")).alias("cleaned"))
 
 
 def html_clean_plain(spark, folder):
-    pages = table(spark, folder, "pages")
+    pages = pages_table(spark, folder)
     return pages.select("page_id", tx.clean_context(F.col("html"), "plain").alias("cleaned"))
 
 
@@ -113,7 +114,7 @@ def max_encoded_len(spark, folder):
 
 
 def bracket_repair(spark, folder):
-    pages = table(spark, folder, "pages")
+    pages = pages_table(spark, folder)
     words = prepare.tokenize_rows(pages, "page_id", "html")
     return words.select("page_id", "pos", tx.balance_brackets(F.col("token")).alias("repaired"))
 

@@ -13,52 +13,51 @@ from qaspark.plans.topk import topk_per
 
 N_BEST, MAX_ANSWER = 20, 30
 
+# what a candidate is ordered by, then what it is made of
+_SPAN = ["cost", "no_answer", "chunk_no", "start_rank", "end_rank"]
+_SPAN += ["start_logit", "end_logit", "s", "e"]
 _ENTRY = "array<struct<text:string,start_logit:double,end_logit:double,score:double>>"
 
 
 def _best_positions(logits: Column, n: int) -> Column:
-    """``array<struct<cost,pos>>``: n largest logits, ties by position."""
+    """``array<struct<cost,pos,rank>>``: n largest logits, ties by position."""
     costs = F.transform(logits, lambda x, i: F.struct((-x).alias("cost"), i.alias("pos")))
-    return F.slice(F.sort_array(costs), 1, n)
+    best = F.slice(F.sort_array(costs), 1, n)
+    return F.transform(best, lambda c, i: c.withField("rank", i))
 
 
 def _pairs(offsets: Column, max_context: Column | None, n: int, longest: int) -> Column:
     """Valid (start, end) pairs of one chunk, best first, at most n."""
 
-    def against(starts: Column, ends: Column) -> Column:
-        return F.transform(
-            starts,
-            lambda s, i: F.transform(
-                ends,
-                lambda e, j: F.struct(
-                    (s["cost"] + e["cost"]).alias("cost"),
-                    i.alias("start_rank"),
-                    j.alias("end_rank"),
-                    (-s["cost"]).alias("start_logit"),
-                    (-e["cost"]).alias("end_logit"),
-                    s["pos"].alias("start_pos"),
-                    e["pos"].alias("end_pos"),
-                    F.get(offsets, s["pos"])["s"].alias("s"),
-                    F.get(offsets, e["pos"])["e"].alias("e"),
-                ),
-            ),
+    def in_context(positions: Column) -> Column:
+        return F.filter(positions, lambda c: F.get(offsets, c["pos"]).isNotNull())
+
+    def may_start(positions: Column) -> Column:
+        if max_context is None:
+            return positions
+        return F.filter(positions, lambda c: F.coalesce(F.get(max_context, c["pos"]), F.lit(False)))
+
+    def pair(s: Column, e: Column) -> Column:
+        return F.struct(
+            (s["cost"] + e["cost"]).alias("cost"),
+            s["rank"].alias("start_rank"),
+            e["rank"].alias("end_rank"),
+            (-s["cost"]).alias("start_logit"),
+            (-e["cost"]).alias("end_logit"),
+            F.get(offsets, s["pos"])["s"].alias("s"),
+            F.get(offsets, e["pos"])["e"].alias("e"),
         )
 
-    def valid(p: Column) -> Column:
-        ok = (
-            p["s"].isNotNull()
-            & p["e"].isNotNull()
-            & (p["end_pos"] >= p["start_pos"])
-            & (p["end_pos"] - p["start_pos"] < longest)
-        )
-        if max_context is not None:
-            ok = ok & F.coalesce(F.get(max_context, p["start_pos"]), F.lit(False))
-        return ok
+    def against(starts: Column, ends: Column) -> Column:
+        def reachable(s: Column) -> Column:
+            return F.filter(ends, lambda e: (e["pos"] - s["pos"]).between(0, longest - 1))
+
+        return F.transform(starts, lambda s: F.transform(reachable(s), lambda e: pair(s, e)))
 
-    starts = _best_positions(F.col("start_logits"), n)
-    ends = _best_positions(F.col("end_logits"), n)
+    starts = may_start(in_context(_best_positions(F.col("start_logits"), n)))
+    ends = in_context(_best_positions(F.col("end_logits"), n))
     crossed = let(F.struct(starts.alias("s"), ends.alias("e")), lambda b: against(b["s"], b["e"]))
-    return F.slice(F.sort_array(F.filter(F.flatten(crossed), valid)), 1, n)
+    return F.slice(F.sort_array(F.flatten(crossed)), 1, n)
 
 
 def _softmax(entries: Column) -> Column:
@@ -96,11 +95,9 @@ def decode_spans(
         "id",
         "chunk_no",
         F.explode(_pairs(F.col("offsets"), flags, n_best, max_answer_len)).alias("p"),
-    ).select("id", F.col("p.cost").alias("cost"), F.lit(0).alias("no_answer"), "chunk_no", "p.*")
-    order = [F.col(c) for c in ("cost", "no_answer", "chunk_no", "start_rank", "end_rank")]
-    columns = ["id", "cost", "no_answer", "chunk_no", "start_rank", "end_rank", "start_logit",
-               "end_logit", "s", "e"]
-    spans = spans.drop("cost").withColumn("cost", -(F.col("start_logit") + F.col("end_logit")))
+    ).select("id", F.lit(0).alias("no_answer"), "chunk_no", "p.*")
+    order = [F.col(c) for c in _SPAN[:5]]
+    columns = ["id", *_SPAN]
     kept = topk_per(spans.select(*columns), "id", order, n_best, "_rank").drop("_rank")
     if allow_null:
         first = F.get("start_logits", F.lit(0)), F.get("end_logits", F.lit(0))
@@ -125,7 +122,7 @@ def decode_spans(
         ranked = topk_per(joined, "id", order, n_best + 1, "_rank")
         kept = ranked.filter((F.col("_rank") <= n_best) | (F.col("no_answer") == 1)).drop("_rank")
     listed = kept.groupBy("id").agg(
-        F.sort_array(F.collect_list(F.struct(*columns[1:]))).alias("spans")
+        F.sort_array(F.collect_list(F.struct(*_SPAN))).alias("spans")
     )
     return _answers(examples.join(listed, "id", "left"), allow_null, threshold)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from qaspark.sources.schemas import LONGDOC, NBEST_ENTRY, PASSAGE, QA, SQUAD
@@ -16,7 +18,7 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
 
 
-def read_table(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, spread_by: Sequence[str] = ()) -> DataFrame:
     """A Parquet table. ``spread_by`` is for heavy per-row work on few files.
 
     A file is split by row group at best, so a small table may arrive in a single task. Such a
@@ -24,9 +26,9 @@ def read_table(spark: SparkSession, path: str, spread_by: str | None = None) ->
     and is read as it lies.
     """
     rows = spark.read.parquet(path)
-    if spread_by is None or stored_bytes(spark, path) > SMALL_INPUT:
+    if not spread_by or stored_bytes(spark, path) > SMALL_INPUT:
         return rows
-    return rows.repartition(spark.sparkContext.defaultParallelism, spread_by)
+    return rows.repartition(spark.sparkContext.defaultParallelism, *spread_by)
 
 
 def _map_entries(spark: SparkSession, path: str, value: T.DataType) -> DataFrame:

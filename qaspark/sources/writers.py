@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from qaspark.plans.order import row_index
+from qaspark.session import materialize
 from qaspark.sources.schemas import QA
 
 
@@ -39,20 +40,17 @@ def _named(folder: str, stem: str, prefix: str | None) -> str:
 
 
 def write_predictions(
-    predictions: DataFrame,
-    nbest: DataFrame,
-    folder: str,
-    prefix: str | None = None,
-    null_odds: DataFrame | None = None,
-    mode: str = "error",
+    decoded: DataFrame, folder: str, prefix: str | None = None, mode: str = "error"
 ) -> None:
-    """Answers, candidate lists (at most the decoder's n per id) and no-answer odds."""
-    predictions.write.mode(mode).json(_named(folder, "predictions", prefix))
-    entry = F.struct("rank", "text", "start_logit", "end_logit", "probability")
-    listed = nbest.groupBy("id").agg(F.array_sort(F.collect_list(entry)).alias("nbest"))
-    plain = F.transform("nbest", lambda one: one.dropFields("rank"))
-    listed.select("id", plain.alias("nbest")).write.mode(mode).json(
+    """Answers, candidate lists and, if present, no-answer odds of decoded rows.
+
+    ``decoded`` is (id, nbest, prediction_text[, null_odds]); it is computed once for all files.
+    """
+    rows = materialize(decoded)
+    rows.select("id", "prediction_text").write.mode(mode).json(_named(folder, "predictions", prefix))
+    plain = F.transform("nbest", lambda one: one.dropFields("score"))
+    rows.select("id", plain.alias("nbest")).write.mode(mode).json(
         _named(folder, "nbest_predictions", prefix)
     )
-    if null_odds is not None:
-        null_odds.write.mode(mode).json(_named(folder, "null_odds", prefix))
+    if "null_odds" in rows.columns:
+        rows.select("id", "null_odds").write.mode(mode).json(_named(folder, "null_odds", prefix))
