@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from qaspark.functions.tokens import Scheme
 from qaspark.functions.vectors import hash_int
 from qaspark.operators.termindex import forward_index
+from qaspark.plans.bestk import BestK
 from qaspark.plans.broadcasts import BLOCK_BYTES, split_blocks, union_all
 from qaspark.plans.topk import topk_per
 
@@ -82,35 +83,6 @@ def hash_embed(
     return hashed.select("doc_id", accumulate(bucket, value).alias("embedding"))
 
 
-class _Best:
-    """Running best k (cost, id) per question of one task."""
-
-    def __init__(self, questions: int, k: int):
-        self.k = k
-        self.cost = [np.empty(0)] * questions
-        self.ids = [np.empty(0, dtype=np.int64)] * questions
-
-    def offer(self, question: int, cost: np.ndarray, ids: np.ndarray) -> None:
-        cost = np.concatenate([self.cost[question], cost])
-        ids = np.concatenate([self.ids[question], ids])
-        if len(cost) > self.k:
-            near = cost <= np.partition(cost, self.k - 1)[self.k - 1]
-            cost, ids = cost[near], ids[near]
-            order = np.lexsort((ids, cost))[: self.k]
-            cost, ids = cost[order], ids[order]
-        self.cost[question], self.ids[question] = cost, ids
-
-    def frame(self, qids: np.ndarray, sign: float) -> pd.DataFrame:
-        sizes = [len(c) for c in self.cost]
-        return pd.DataFrame(
-            {
-                "qid": np.repeat(qids, sizes),
-                "vec_id": np.concatenate(self.ids),
-                "score": sign * np.concatenate(self.cost),
-            }
-        )
-
-
 def _costs(vectors: np.ndarray, block: np.ndarray, metric: str) -> np.ndarray:
     """(questions x vectors) rounded costs, smaller is better."""
     product = block @ vectors.T
@@ -151,7 +123,7 @@ def _search(
 
         def scan(frames: Iterator[pd.DataFrame], asked=asked) -> Iterator[pd.DataFrame]:
             ids, wanted, cells = asked.value
-            best = _Best(len(ids), k)
+            best = BestK(len(ids), k)
             for frame in frames:
                 if frame.empty:
                     continue
@@ -164,7 +136,7 @@ def _search(
                     inside = of_row == cell
                     probing = np.flatnonzero((cells == cell).any(axis=1))
                     offer_all(best, probing, wanted, stored[inside], keys[inside])
-            yield best.frame(ids, sign)
+            yield best.frame(ids, sign, "vec_id")
 
         columns = ["vec_id", "embedding"]
         stored = vectors

@@ -3,23 +3,28 @@
 Layout: one row per document with its distinct terms and counts. Counting happens inside the row,
 so building the index needs no shuffle; only the term statistics are aggregated.
 
-Scoring is document-sharded. The matching postings are spread by document once; after that every
-(question, document) sum is local to a task, and each task hands on its best k per question. What
-crosses the network is the narrow matching postings and k rows per question and task, never the
-question-document pairs.
+Ranking is document-sharded: a document's terms are one row, so a task scores its documents against
+a broadcast block of questions, whose size was measured, and keeps the best k per question. What
+crosses the network is k rows per question and task, never a posting or a question-document pair.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from qaspark.functions.tokens import Scheme, term_counts, tokenize, with_bigrams
+from qaspark.plans.bestk import BestK
 from qaspark.plans.broadcasts import BLOCK_BYTES, split_blocks, union_all
 from qaspark.plans.topk import topk_per
 from qaspark.session import store
 
+_HIT_NAMES = ["qid", "doc_id", "score"]
 SCORE_DIGITS = 6  # scores are compared after rounding, so ties do not depend on summation order
 
 
@@ -75,15 +80,14 @@ def score_pairs(weights: DataFrame, block: DataFrame) -> DataFrame:
     )
 
 
-def per_block(
+def score_blocks(
     weighted_questions: DataFrame,
     doc_weights: Callable[[DataFrame], DataFrame],
-    finish: Callable[[DataFrame], DataFrame],
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Score all questions, in blocks of measured size; normally that is one block.
+    """All (qid, doc_id, score) pairs that share a term, by blocks of questions.
 
-    ``doc_weights`` gets the terms of a block, (term, …) without repeats, broadcast-sized, and
+    ``doc_weights`` gets the terms of a block, (term, idf) without repeats, broadcast-sized, and
     returns the (doc_id, term, weight) rows for them.
     """
     parts = []
@@ -91,7 +95,94 @@ def per_block(
     for block in split_blocks(asked, "qid", block_bytes):
         vocabulary = F.broadcast(block.select("term", "idf").distinct())
         weights = doc_weights(vocabulary).select("doc_id", "term", "weight").repartition("doc_id")
-        parts.append(finish(score_pairs(weights, block.select("qid", "term", "qweight"))))
+        parts.append(score_pairs(weights, block.select("qid", "term", "qweight")))
+    return union_all(parts)
+
+
+class _Asked:
+    """A block of questions as arrays: term numbers and weights, sorted by question."""
+
+    def __init__(self, rows: pd.DataFrame, terms: Sequence[str]):
+        number = {term: at for at, term in enumerate(terms)}
+        rows = rows.sort_values("qid", kind="stable")
+        self.qids, of_row = np.unique(rows["qid"].to_numpy(), return_inverse=True)
+        self.bounds = np.searchsorted(of_row, np.arange(len(self.qids) + 1))
+        self.terms = rows["term"].map(number).to_numpy()
+        self.weights = rows["qweight"].to_numpy(dtype=np.float64)
+
+
+def _score_batch(best: BestK, asked: _Asked, docs, of_doc, term_ids, weights) -> None:
+    """Offer every document of the batch to the questions it shares a term with."""
+    order = np.argsort(term_ids, kind="stable")
+    of_doc, weights, term_ids = of_doc[order], weights[order], term_ids[order]
+    begin = np.searchsorted(term_ids, asked.terms, "left")
+    end = np.searchsorted(term_ids, asked.terms, "right")
+    scores, shared = np.zeros(len(docs)), np.zeros(len(docs), dtype=bool)
+    for question in range(len(asked.qids)):
+        scores[:], shared[:] = 0.0, False
+        for at in range(asked.bounds[question], asked.bounds[question + 1]):
+            found = slice(begin[at], end[at])
+            rows = of_doc[found]  # a document lists a term once
+            scores[rows] += asked.weights[at] * weights[found]
+            shared[rows] = True
+        some = np.flatnonzero(shared)
+        if len(some):
+            best.offer(question, -np.round(scores[some], SCORE_DIGITS), docs[some])
+
+
+Weigh = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+
+
+def rank_documents(
+    forward: DataFrame,
+    asked: DataFrame,
+    k: int,
+    weigh: Callable[[np.ndarray], Weigh],
+    vocabulary: DataFrame | None = None,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """Best ``k`` documents per question: (qid, doc_id, score, rank).
+
+    ``asked`` is (qid, term, idf, qweight) with whole-number ids. ``vocabulary`` is (term, idf), by
+    default the terms of the block; the caller vouches for its size. ``weigh(idf)`` gives the
+    function from (term numbers, counts, document rows, document lengths) to posting weights.
+    """
+    context = forward.sparkSession.sparkContext
+    lists = forward.select(
+        "doc_id", "length", F.col("terms.term").alias("words"), F.col("terms.tf").alias("counts")
+    )
+    parts = []
+    for block in split_blocks(store(asked, "asked"), "qid", block_bytes):
+        rows = block.select("qid", "term", "idf", "qweight").toPandas()  # at most a block
+        known = rows[["term", "idf"]].drop_duplicates("term")
+        known = known if vocabulary is None else vocabulary.select("term", "idf").toPandas()
+        words = pa.array(known["term"], pa.string())
+        idf = known["idf"].to_numpy()
+        shared = context.broadcast((_Asked(rows, known["term"].tolist()), words, idf))
+
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            asked, words, idf = shared.value
+            weight_of = weigh(idf)
+            best = BestK(len(asked.qids), k)
+            for batch in batches:
+                terms = batch.column("words")
+                number = pc.index_in(terms.flatten(), value_set=words)
+                of_doc = np.repeat(
+                    np.arange(batch.num_rows), terms.value_lengths().fill_null(0).to_numpy()
+                )
+                known = number.is_valid().to_numpy(zero_copy_only=False)
+                ids = number.fill_null(0).to_numpy()[known]
+                counts = batch.column("counts").flatten().to_numpy()[known].astype(np.float64)
+                lengths = batch.column("length").to_numpy().astype(np.float64)
+                weights = weight_of(ids, counts, of_doc[known], lengths)
+                docs = batch.column("doc_id").to_numpy()
+                _score_batch(best, asked, docs, of_doc[known], ids, weights)
+            if len(asked.qids):
+                columns = best.columns(asked.qids, -1.0)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_HIT_NAMES)
+
+        found = lists.mapInArrow(scan, "qid long, doc_id long, score double")
+        parts.append(rank_pairs(found, k))
     return union_all(parts)
 
 

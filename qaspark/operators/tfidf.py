@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from qaspark.functions.tokens import Scheme
 from qaspark.operators.termindex import (
     forward_index,
-    per_block,
     postings,
     question_terms,
+    rank_documents,
     rank_pairs,
+    score_blocks,
 )
-from qaspark.plans.broadcasts import BLOCK_BYTES, broadcast_if_small
+from qaspark.plans.broadcasts import BLOCK_BYTES, broadcast_if_small, measured_bytes
 from qaspark.plans.topk import top_n
 from qaspark.session import store
 
@@ -85,18 +87,32 @@ def transform(texts: DataFrame, model: TfidfModel, qid: str = "qid", text: str =
     return _normalised(terms.withColumnRenamed("qtf", "tf"), "qid", model)
 
 
+def _weigh(idf: np.ndarray):
+    def weights(terms, counts, of_doc, lengths):
+        raw = counts * idf[terms]
+        norm = np.sqrt(np.bincount(of_doc, raw * raw, len(lengths)))
+        return raw / norm[of_doc]
+
+    return weights
+
+
 def retrieve(
     questions: DataFrame, model: TfidfModel, k: int, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """Best ``k`` documents of every question by cosine: (qid, doc_id, score, rank)."""
-    documents = transform_corpus(model).drop("idf")
+    """Best ``k`` documents of every question by cosine: (qid, doc_id, score, rank).
+
+    The norm of a document needs the whole vocabulary. When that is too large to broadcast, weights
+    are joined and summed by shuffles instead.
+    """
     asked = transform(questions, model).withColumnRenamed("weight", "qweight")
-    return per_block(
-        asked,
-        lambda vocabulary: documents.join(vocabulary, "term", "left_semi"),
-        lambda pairs: rank_pairs(pairs, k),
-        block_bytes,
+    vocabulary = model.vocabulary.select("term", "idf")
+    if measured_bytes(vocabulary) <= block_bytes:
+        return rank_documents(model.forward, asked, k, _weigh, vocabulary, block_bytes)
+    documents = transform_corpus(model).drop("idf")
+    pairs = score_blocks(
+        asked, lambda terms: documents.join(terms, "term", "left_semi"), block_bytes
     )
+    return rank_pairs(pairs, k)
 
 
 def oov_questions(questions: DataFrame, model: TfidfModel) -> DataFrame:
