@@ -90,7 +90,7 @@ def longdoc_scan(spark, folder):
         .fillna("", ["question"])
         .withColumn("file_no", F.floor(F.col("page_id") / FILE_ROWS))
         .groupBy("file_no")
-        .agg(F.array_sort(F.collect_list(doc)).alias("docs"))
+        .agg(F.sort_array(F.collect_list(doc)).alias("docs"))
         .withColumn("data", F.transform("docs", lambda d: d.dropFields("page_id")))
         .select("file_no", F.to_json(F.struct(F.lit("1").alias("version"), "data")).alias("value"))
     )
@@ -223,13 +223,13 @@ def _length_metrics():
 
 
 def describe_lengths(spark, folder):
-    texts = stats.describe_num(dialogue_pairs(spark, folder), _length_metrics())
-    passages = stats.describe_num(corpus(spark, folder), {"passage": F.length("text")})
-    prices = stats.describe_num(
+    texts = stats.as_metrics(dialogue_pairs(spark, folder), _length_metrics())
+    passages = stats.as_metrics(table(spark, folder, "documents"), {"passage": F.length("text")})
+    prices = stats.as_metrics(
         table(spark, folder, "lineitem"),
         {"price": F.col("l_extendedprice"), "quantity": F.col("l_quantity")},
     )
-    rows = texts.unionByName(passages).unionByName(prices)
+    rows = stats.describe_metrics(texts.unionByName(passages).unionByName(prices))
     rounded = ("mean", "std", "min", "max", "p25", "p50", "p75")
     return rows.select("metric", "count", *[F.round(c, 4).alias(c) for c in rounded])
 
@@ -263,9 +263,9 @@ def len_histogram(spark, folder):
 
 
 def box_stats(spark, folder):
-    texts = stats.box_stats(dialogue_pairs(spark, folder), _length_metrics())
-    prices = stats.box_stats(table(spark, folder, "orders"), {"total": F.col("o_totalprice")})
-    rows = texts.unionByName(prices)
+    texts = stats.as_metrics(dialogue_pairs(spark, folder), _length_metrics())
+    prices = stats.as_metrics(table(spark, folder, "orders"), {"total": F.col("o_totalprice")})
+    rows = stats.box_metrics(texts.unionByName(prices))
     numbers = ("p25", "p50", "p75", "low_whisker", "high_whisker")
     return rows.select("metric", *[F.round(c, 4).alias(c) for c in numbers], "outliers")
 

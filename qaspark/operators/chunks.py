@@ -13,7 +13,7 @@ from qaspark.functions.bind import let
 from qaspark.functions.text import title_tag
 from qaspark.functions.tokens import Scheme, space_offsets, tokenize
 from qaspark.functions.vectors import hash_int
-from qaspark.operators.corpus import sample_negatives
+from qaspark.operators.corpus import attach_text, sample_negatives
 from qaspark.plans.broadcasts import broadcast_if_small
 
 MAX_LEN, OVERLAP, SPECIALS = 512, 256, 3
@@ -120,7 +120,7 @@ def encode_pad(
     )
     token_id = F.coalesce(marks[F.col("token")], "token_id", F.lit(special_ids[UNKNOWN]))
     # a feature holds a bounded number of tokens
-    ordered = F.array_sort(F.collect_list(F.struct("at", token_id.alias("token_id"))))
+    ordered = F.sort_array(F.collect_list(F.struct("at", token_id.alias("token_id"))))
     ids = (
         placed.join(known, "token", "left")
         .groupBy(*key)
@@ -147,7 +147,7 @@ def build_candidates(questions: DataFrame, corpus: DataFrame, n: int = 31, seed:
     drawn = sample_negatives(questions.select("qid", "title"), corpus, n, seed)
     others = drawn.select("qid", "cand_no", F.lit(0).alias("label"), "doc_id")
     texts = corpus.select("doc_id", title_tag(F.col("title"), F.col("text")).alias("cand_text"))
-    return gold.unionByName(others).join(texts, "doc_id")
+    return attach_text(gold.unionByName(others), texts)
 
 
 def pair_text(question: Column, candidate: Column) -> Column:

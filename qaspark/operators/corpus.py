@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from qaspark.functions.vectors import hash_int
 from qaspark.operators.prepare import conform
-from qaspark.plans.broadcasts import union_all
+from qaspark.plans.broadcasts import broadcast_if_small, union_all
 from qaspark.plans.order import row_index
 from qaspark.plans.topk import top_n
+from qaspark.session import materialize
 
 
 def _first_seen(df: DataFrame, text: str, order: str) -> DataFrame:
@@ -128,7 +129,12 @@ def sample_negatives(
 
 
 def attach_text(hits: DataFrame, corpus: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    return hits.join(corpus, doc_id)
+    """Passages next to their ids.
+
+    The hits are computed and measured first: while they fit a broadcast, the corpus is only
+    scanned and its texts are not shuffled.
+    """
+    return corpus.join(broadcast_if_small(materialize(hits)), doc_id)
 
 
 def attach_gold(
@@ -145,6 +151,6 @@ def concat_context(hits: DataFrame, questions: DataFrame, key: str = "qid") -> D
     ``hits`` carries (key, rank, text) and is already cut to k passages per question. A question
     without passages keeps its row with an empty context.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "text")))
+    ordered = F.sort_array(F.collect_list(F.struct("rank", "text")))
     joined = hits.groupBy(key).agg(F.array_join(ordered.getField("text"), " ").alias("context"))
     return questions.join(joined, key, "left").fillna("", ["context"])

@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from qaspark.functions.tokens import Scheme
 from qaspark.functions.vectors import hash_int
@@ -21,10 +21,10 @@ from qaspark.operators.termindex import forward_index
 from qaspark.plans.bestk import BestK
 from qaspark.plans.broadcasts import BLOCK_BYTES, split_blocks, union_all
 from qaspark.plans.topk import topk_per
+from qaspark.session import materialize
 
 SCORE_DIGITS = 6
 _SLICE = 512  # questions multiplied with one batch of vectors at a time
-_PAIR = "qid long, vec_id long, score double"
 
 Encoder = Callable[[Sequence[str]], np.ndarray]
 
@@ -106,6 +106,8 @@ def _search(
 ) -> DataFrame:
     """Best ``k`` vectors per question; ``probes`` gives the cells (questions x nprobe) to look at."""
     sign = -1.0 if metric == "dot" else 1.0
+    pair = f"qid {questions.schema['qid'].dataType.simpleString()}, vec_id long, score double"
+    questions = materialize(questions)  # measured, then collected block by block
     parts = []
     for block in split_blocks(questions, "qid", block_bytes):
         rows = block.toPandas()  # a block is at most ``block_bytes`` large
@@ -143,9 +145,9 @@ def _search(
         if cells is not None:
             columns.append("cell")
             stored = vectors.filter(F.col("cell").isin([int(c) for c in np.unique(cells)]))
-        parts.append(stored.select(*columns).mapInPandas(scan, _PAIR))
+        parts.append(stored.select(*columns).mapInPandas(scan, pair))
     if not parts:
-        return vectors.sparkSession.createDataFrame([], _PAIR + ", rank int")
+        return vectors.sparkSession.createDataFrame([], pair + ", rank int")
     better = F.col("score").desc() if metric == "dot" else F.col("score").asc()
     return union_all([topk_per(part, "qid", [better, F.col("vec_id")], k) for part in parts])
 
@@ -245,6 +247,3 @@ def pool_first(tokens: DataFrame, key: str, pos: str = "pos") -> DataFrame:
 def pool_mean(tokens: DataFrame, key: str, dim: int) -> DataFrame:
     return mean_vectors(tokens, key, dim).drop("n")
 
-
-def at(column: str, position: int) -> Column:
-    return F.get(column, F.lit(position))

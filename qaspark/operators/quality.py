@@ -15,7 +15,7 @@ def recall_at_k(
     ``hits`` is (key, rank, text) and holds at most ``max(ks)`` rows per question; ``gold`` is
     (key, gold). ``equal`` asks for identity of the joined text instead. Questions without hits count.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "text"))).getField("text")
+    ordered = F.sort_array(F.collect_list(F.struct("rank", "text"))).getField("text")
     found = hits.groupBy(key).agg(ordered.alias("texts"))
 
     def correct(k: int):

@@ -76,7 +76,7 @@ def attend_codes(tokens: DataFrame, codes: np.ndarray) -> DataFrame:
         ).alias("moved"),
     )
     summary = F.transform("moved", lambda x: x / F.col("total"))
-    ordered = F.array_sort(F.collect_list(F.struct("code", summary.alias("summary"))))
+    ordered = F.sort_array(F.collect_list(F.struct("code", summary.alias("summary"))))
     return merged.groupBy("qid").agg(ordered.getField("summary").alias("summaries"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from qaspark.plans.order import exact_quantiles, value_counts_by
 from qaspark.plans.topk import top_n
+from qaspark.session import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -42,7 +43,12 @@ def describe_num(
     df: DataFrame, metrics: Mapping[str, Column], approximate: bool = False
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles, one row per metric."""
-    long = as_metrics(df, metrics).filter("value is not null")
+    return describe_metrics(as_metrics(df, metrics), approximate)
+
+
+def describe_metrics(long: DataFrame, approximate: bool = False) -> DataFrame:
+    """``describe_num`` of (metric, value) rows, which may come from several tables."""
+    long = long.filter("value is not null")
     basics = long.groupBy("metric").agg(
         F.count(F.lit(1)).alias("count"),
         F.avg("value").alias("mean"),
@@ -107,7 +113,12 @@ def histogram(df: DataFrame, metrics: Mapping[str, Column], width: float, bins:
 
 def box_stats(df: DataFrame, metrics: Mapping[str, Column], whis: float = 2.5) -> DataFrame:
     """Quartiles, whiskers (last values within ``whis`` times the IQR) and number of outliers."""
-    counts = value_counts_by(as_metrics(df, metrics), "metric", "value")
+    return box_metrics(as_metrics(df, metrics), whis)
+
+
+def box_metrics(long: DataFrame, whis: float = 2.5) -> DataFrame:
+    """``box_stats`` of (metric, value) rows. Values are counted once and the counts are kept."""
+    counts = materialize(value_counts_by(long, "metric", "value"))
     quartiles = _quartiles(counts, counts, False)
     reach = (F.col("p75") - F.col("p25")) * whis
     inside = F.col("value").between(F.col("p25") - reach, F.col("p75") + reach)

@@ -143,13 +143,14 @@ def rank_documents(
 ) -> DataFrame:
     """Best ``k`` documents per question: (qid, doc_id, score, rank).
 
-    ``asked`` is (qid, term, idf, qweight) with whole-number ids. ``vocabulary`` is (term, idf), by
+    ``asked`` is (qid, term, idf, qweight); ``doc_id`` is a whole number. ``vocabulary`` is (term, idf), by
     default the terms of the block; the caller vouches for its size. ``weigh(idf)`` gives the
     function from (term numbers, counts, document rows, document lengths) to posting weights.
     """
     context = forward.sparkSession.sparkContext
+    kind = asked.schema["qid"].dataType.simpleString()
     lists = forward.select(
-        "doc_id", "length", F.col("terms.term").alias("words"), F.col("terms.tf").alias("counts")
+        F.col("doc_id").cast("long").alias("doc_id"), "length", F.col("terms.term").alias("words"), F.col("terms.tf").alias("counts")
     )
     parts = []
     for block in split_blocks(store(asked, "asked"), "qid", block_bytes):
@@ -181,7 +182,7 @@ def rank_documents(
                 columns = best.columns(asked.qids, -1.0)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_HIT_NAMES)
 
-        found = lists.mapInArrow(scan, "qid long, doc_id long, score double")
+        found = lists.mapInArrow(scan, f"qid {kind}, doc_id long, score double")
         parts.append(rank_pairs(found, k))
     return union_all(parts)
 
