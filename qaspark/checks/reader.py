@@ -16,7 +16,7 @@ from qaspark.operators import chunks as ch, decode, ensemble as vote, losses, me
 from qaspark.plans.broadcasts import union_all
 from qaspark.plans.order import row_index
 from qaspark.plans.topk import top_n
-from qaspark.session import scratch_path
+from qaspark.session import scratch_path, store
 from qaspark.sources import readers, writers
 
 MAX_LEN, OVERLAP = 96, 32
@@ -96,8 +96,11 @@ def label_pos_hist(spark, folder):
 
 
 def scored_chunks(spark, folder, model="70"):
+    return with_logits(ch.with_feature_offsets(labelled(spark, folder)), model)
+
+
+def with_logits(rows, model):
     """Chunks with stand-in logits of one model."""
-    rows = ch.with_feature_offsets(labelled(spark, folder))
     key = F.lit(model), F.col("id"), F.col("chunk_no")
     size = F.size("offsets")
     return rows.withColumns(
@@ -196,22 +199,25 @@ def scored_chunks_unmasked(spark, folder, model="70"):
     )
 
 
-def _runs(spark, folder):
-    runs = []
+def _decoded_runs(spark, folder):
+    """Every model's answers; the features are made once and kept."""
+    features = store(ch.with_feature_offsets(labelled(spark, folder)), "features")
+    examples = store(_examples(spark, folder), "examples")
     for model in MODELS:
-        decoded = decode.decode_spans(
-            scored_chunks(spark, folder, model), _examples(spark, folder), max_answer_len=4
-        )
-        runs.append(decode.nbest_rows(decoded).withColumn("model", F.lit(model)))
+        yield model, decode.decode_spans(with_logits(features, model), examples, max_answer_len=4)
+
+
+def _runs(spark, folder):
+    runs = [
+        decode.nbest_rows(decoded).withColumn("model", F.lit(model))
+        for model, decoded in _decoded_runs(spark, folder)
+    ]
     return union_all(runs).withColumn("weight", F.col("model").cast("int") / 100)
 
 
 def nbest_scan(spark, folder):
     path = scratch_path(spark, "nbest")
-    for model in MODELS:
-        decoded = decode.decode_spans(
-            scored_chunks(spark, folder, model), _examples(spark, folder), max_answer_len=4
-        )
+    for model, decoded in _decoded_runs(spark, folder):
         writers.write_predictions(decoded, path, model)
     rows = readers.read_nbest_lines(spark, f"{path}/nbest_predictions_*")
     return rows.select("model", "weight", "id", "rank", "text", F.round("probability", 6).alias("probability"))

@@ -17,6 +17,8 @@ def build_session(app: str = "qaspark", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # recording the Python call site of every column operation makes large plans slow to build
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         **conf,
