@@ -50,7 +50,7 @@ def bm25_scores(spark, folder):
     return pairs.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_questions"),
         F.max("score").alias("best_score"),
-        F.round(F.sum("score"), 6).alias("total_score"),
+        F.min("score").alias("worst_score"),
     )
 
 
@@ -210,7 +210,7 @@ SQL = {
         from lens l left join (select doc_id, count(*) as n_terms from tf group by 1) t using (doc_id), facts""",
     "bm25_idf": f"with {_INDEX} select term, df, round(idf, 6) as idf from idfs",
     "bm25_scores": f"""with {_BM25} select doc_id, count(*) as n_questions, max(score) as best_score,
-        round(sum(score), 6) as total_score from scored group by doc_id""",
+        min(score) as worst_score from scored group by doc_id""",
     "bm25_topk": f"with {_BM25} select qid, doc_id, score, rank from hits",
     "bm25_subset": f"""with {_INDEX}, {_scored('where t.doc_id in (select doc_id from labels where quality = 1)')}
         select qid, doc_id, score, rank from hits""",

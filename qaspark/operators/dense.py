@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -56,17 +57,18 @@ def hash_embed(
     Counting and hashing are native; a batch of rows is added up with one ``bincount``.
     """
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def accumulate(buckets: pd.Series, values: pd.Series) -> pd.Series:
-        sizes = np.fromiter((len(b) for b in buckets), dtype=np.int64, count=len(buckets))
-        if not sizes.sum():
-            return pd.Series([np.zeros(dim)] * len(buckets))
-        rows = np.repeat(np.arange(len(buckets)), sizes)
-        flat = rows * dim + np.concatenate(buckets.to_numpy())
-        dense = np.bincount(flat, np.concatenate(values.to_numpy()), len(buckets) * dim)
-        dense = dense.reshape(len(buckets), dim)
-        norm = np.linalg.norm(dense, axis=1, keepdims=True)
-        return pd.Series(list(dense / np.where(norm == 0, 1, norm)))
+    def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buckets, values = batch.column("bucket"), batch.column("value")
+            rows = np.repeat(np.arange(batch.num_rows), buckets.value_lengths().to_numpy())
+            flat = rows * dim + buckets.flatten().to_numpy()
+            dense = np.bincount(flat, values.flatten().to_numpy(), batch.num_rows * dim)
+            dense = dense.reshape(batch.num_rows, dim)
+            norm = np.linalg.norm(dense, axis=1, keepdims=True)
+            dense /= np.where(norm == 0, 1, norm)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), _as_lists(dense)], names=["doc_id", "embedding"]
+            )
 
     hashed = forward_index(texts, key, text, scheme).select(
         "doc_id",
@@ -80,7 +82,20 @@ def hash_embed(
         "h",
         lambda t: F.when(F.call_function("div", t["h"], F.lit(dim)) % 2 == 0, t["tf"]).otherwise(-t["tf"]),
     )
-    return hashed.select("doc_id", accumulate(bucket, value).alias("embedding"))
+    kind = texts.schema[key].dataType.simpleString()
+    lists = hashed.select("doc_id", bucket.alias("bucket"), value.alias("value"))
+    return lists.mapInArrow(accumulate, f"doc_id {kind}, embedding array<double>")
+
+
+def _as_lists(matrix: np.ndarray) -> pa.ListArray:
+    rows, width = matrix.shape
+    offsets = pa.array(np.arange(rows + 1) * width, pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(matrix.ravel()))
+
+
+def _as_matrix(lists: pa.ListArray) -> np.ndarray:
+    """Rows of one width as a matrix, without going through Python objects."""
+    return lists.flatten().to_numpy().astype(np.float64).reshape(len(lists), -1)
 
 
 def _costs(vectors: np.ndarray, block: np.ndarray, metric: str) -> np.ndarray:
@@ -123,29 +138,30 @@ def _search(
                 for question, cost in zip(some, _costs(stored, wanted[some], metric)):
                     best.offer(question, cost, keys)
 
-        def scan(frames: Iterator[pd.DataFrame], asked=asked) -> Iterator[pd.DataFrame]:
+        def scan(batches: Iterator[pa.RecordBatch], asked=asked) -> Iterator[pa.RecordBatch]:
             ids, wanted, cells = asked.value
             best = BestK(len(ids), k)
-            for frame in frames:
-                if frame.empty:
+            for batch in batches:
+                if not batch.num_rows:
                     continue
-                keys, stored = frame["vec_id"].to_numpy(), _matrix(frame["embedding"])
+                keys, stored = batch.column("vec_id").to_numpy(), _as_matrix(batch.column("embedding"))
                 if cells is None:
                     offer_all(best, np.arange(len(ids)), wanted, stored, keys)
                     continue
-                of_row = frame["cell"].to_numpy()
+                of_row = batch.column("cell").to_numpy()
                 for cell in np.unique(of_row):
                     inside = of_row == cell
                     probing = np.flatnonzero((cells == cell).any(axis=1))
                     offer_all(best, probing, wanted, stored[inside], keys[inside])
-            yield best.frame(ids, sign, "vec_id")
+            found = [pa.array(column) for column in best.columns(ids, sign)]
+            yield pa.RecordBatch.from_arrays(found, names=["qid", "vec_id", "score"])
 
-        columns = ["vec_id", "embedding"]
+        columns = [F.col("vec_id").cast("long").alias("vec_id"), "embedding"]
         stored = vectors
         if cells is not None:
             columns.append("cell")
             stored = vectors.filter(F.col("cell").isin([int(c) for c in np.unique(cells)]))
-        parts.append(stored.select(*columns).mapInPandas(scan, pair))
+        parts.append(stored.select(*columns).mapInArrow(scan, pair))
     if not parts:
         return vectors.sparkSession.createDataFrame([], pair + ", rank int")
     better = F.col("score").desc() if metric == "dot" else F.col("score").asc()
@@ -189,11 +205,14 @@ def assign_cells(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
     """Add the nearest cell to (vec_id, embedding) rows; write the result partitioned by ``cell``."""
     shared = vectors.sparkSession.sparkContext.broadcast(centroids)
 
-    @F.pandas_udf(T.IntegerType())
-    def cell(embedding: pd.Series) -> pd.Series:
-        return pd.Series(_nearest(_matrix(embedding), shared.value, 1)[:, 0])
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                cell = _nearest(_as_matrix(batch.column("embedding")), shared.value, 1)[:, 0]
+                yield batch.append_column("cell", pa.array(cell, pa.int32()))
 
-    return vectors.withColumn("cell", cell("embedding"))
+    schema = T.StructType([*vectors.schema.fields, T.StructField("cell", T.IntegerType())])
+    return vectors.mapInArrow(label, schema)
 
 
 def ivf_search(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 
 
 class BestK:
@@ -29,6 +28,3 @@ class BestK:
         sizes = [len(c) for c in self.cost]
         cost, ids = np.concatenate(self.cost), np.concatenate(self.ids)
         return np.repeat(qids, sizes), ids, sign * cost + 0.0
-
-    def frame(self, qids: np.ndarray, sign: float, id_name: str) -> pd.DataFrame:
-        return pd.DataFrame(dict(zip(("qid", id_name, "score"), self.columns(qids, sign))))
