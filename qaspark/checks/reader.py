@@ -82,7 +82,7 @@ def candidate_sets(spark, folder):
 def pair_text(spark, folder):
     docs, asked = _asked(spark, folder)
     rows = ch.build_candidates(asked, docs, 3, "6")
-    opening = docs.select(F.col("doc_id").alias("qid"), F.substring_index("text", ".", 1).alias("question"))
+    opening = docs.select(F.col("doc_id").alias("qid"), F.col("text").alias("question"))
     joined = rows.join(opening, "qid")
     pair = ch.pair_text(F.col("question"), F.col("cand_text"))
     return joined.select("qid", "cand_no", F.md5(pair).alias("pair_md5"), F.length(pair).alias("n"))
@@ -168,7 +168,7 @@ def _predictions(spark, folder):
 def _references(spark, folder):
     rows = qa(spark, folder)
     gold = rows.select("id", F.get("answers.text", F.lit(0)).alias("text"))
-    return gold.unionByName(rows.select("id", F.substring_index("question", " ", 4).alias("text")))
+    return gold.unionByName(rows.select("id", F.col("question").alias("text")))
 
 
 def squad_em(spark, folder):
@@ -330,7 +330,7 @@ words as (select id, question, answer_text, turn, regexp_split_to_array(context,
 told as (select id, {_norm("array_to_string(w[greatest(len(w) // 2 - turn % 3, 0) + 1:greatest(len(w) // 2 - turn % 3, 0) + 2], ' ')")} as p
   from words),
 refs as (select id, 1 as ref, {_norm('answer_text')} as r from qa union all
-  select id, 2, {_norm("array_to_string(string_split(question, ' ')[1:4], ' ')")} from qa),
+  select id, 2, {_norm('question')} from qa),
 pc as (select id, t, count(*) as c from (select id, unnest(p) as t from told) group by all),
 rc as (select id, ref, t, count(*) as c from (select id, ref, unnest(r) as t from refs) group by all),
 same as (select rc.id, rc.ref, sum(least(pc.c, rc.c)) as n from rc join pc on pc.id = rc.id and pc.t = rc.t group by all),
@@ -391,7 +391,7 @@ SQL = {
     "candidate_sets": f"""with {_sql_negatives(31, '5')}
         select qid, cand_no, label, md5(cand_text) as cand_md5 from tagged""",
     "pair_text": f"""with {_sql_negatives(3, '6')}, pair as (
-          select qid, cand_no, split_part(text, '.', 1) || '[SEP]' || cand_text as t
+          select qid, cand_no, text || '[SEP]' || cand_text as t
           from tagged join documents on doc_id = qid)
         select qid, cand_no, md5(t) as pair_md5, length(t) as n from pair""",
     "label_pos_hist": f"""with {_sql_chunks()}, {_LABELS}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from qaspark.checks.tables import (
     SQL_CORPUS,
+    SQL_PAIRS,
     SQL_QUESTIONS,
     corpus,
     dialogue_pairs,
@@ -14,6 +15,7 @@ from qaspark.checks.tables import (
     table,
 )
 from qaspark.operators import bm25, corpus as ops, tfidf
+from qaspark.operators.prepare import tokenize_rows
 from qaspark.operators.quality import recall_at_k as recall
 from qaspark.session import scratch_path
 from qaspark.sources.index_store import IndexStore, fingerprint
@@ -128,11 +130,9 @@ def tfidf_topk(spark, folder):
 
 def oov_questions(spark, folder):
     model = tfidf.fit(passages(spark, folder), bigrams=False)
-    turns = table(spark, folder, "conversations").filter("role = 'user'").select(
-        F.concat_ws("-", "conv_id", "turn").alias("qid"),
-        F.substring_index("text", " ", 1).alias("question"),
-    )
-    return tfidf.oov_questions(turns, model)
+    words = tokenize_rows(dialogue_pairs(spark, folder), "id", "question")
+    asked = words.select(F.concat_ws("-", "id", "pos").alias("qid"), F.col("token").alias("question"))
+    return tfidf.oov_questions(asked, model)
 
 
 QUERIES = {
@@ -232,9 +232,10 @@ SQL = {
     "tfidf_vocab": f"with {_tfidf()} select term, cf, df, round(idf, 6) as idf from vocab",
     "tfidf_weights": f"with {_tfidf()} select doc_id, term, round(weight, 6) as weight from docw",
     "tfidf_topk": f"with {_tfidf()}, {_TFIDF_HITS} select qid, doc_id, score, rank from ranked where rank <= 10",
-    "oov_questions": f"""with {_tfidf(False)}, turns as (
-          select conv_id || '-' || turn as qid, split_part(text, ' ', 1) as question
-          from conversations where role = 'user'),
+    "oov_questions": f"""with {_tfidf(False)}, {SQL_PAIRS},
+        spoken as (select id, {sql_tokens('question')} as w from pairs),
+        turns as (select id || '-' || pos as qid, question from (
+          select id, unnest(w) as question, generate_subscripts(w, 1) - 1 as pos from spoken)),
         terms as (select qid, unnest({sql_tokens('lower(question)')}) as term from turns)
         select qid, question from turns
         where qid not in (select qid from terms where term in (select term from vocab))""",

@@ -63,7 +63,7 @@ def hash_embed(
             rows = np.repeat(np.arange(batch.num_rows), buckets.value_lengths().to_numpy())
             flat = rows * dim + buckets.flatten().to_numpy()
             dense = np.bincount(flat, values.flatten().to_numpy(), batch.num_rows * dim)
-            dense = dense.reshape(batch.num_rows, dim)
+            dense = dense.astype(np.float64).reshape(batch.num_rows, dim)
             norm = np.linalg.norm(dense, axis=1, keepdims=True)
             dense /= np.where(norm == 0, 1, norm)
             yield pa.RecordBatch.from_arrays(
