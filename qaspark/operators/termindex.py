@@ -99,31 +99,30 @@ def score_blocks(
     return union_all(parts)
 
 
-class _Asked:
-    """A block of questions as arrays: term numbers and weights, sorted by question."""
+def _as_arrays(rows: pd.DataFrame, terms: Sequence[str]) -> tuple[np.ndarray, ...]:
+    """A block of questions: ids, where each one's terms begin, term numbers, weights."""
+    number = {term: at for at, term in enumerate(terms)}
+    rows = rows.sort_values("qid", kind="stable")
+    qids, of_row = np.unique(rows["qid"].to_numpy(), return_inverse=True)
+    bounds = np.searchsorted(of_row, np.arange(len(qids) + 1))
+    numbers = rows["term"].map(number).to_numpy(dtype=np.int64)
+    return qids, bounds, numbers, rows["qweight"].to_numpy(dtype=np.float64)
 
-    def __init__(self, rows: pd.DataFrame, terms: Sequence[str]):
-        number = {term: at for at, term in enumerate(terms)}
-        rows = rows.sort_values("qid", kind="stable")
-        self.qids, of_row = np.unique(rows["qid"].to_numpy(), return_inverse=True)
-        self.bounds = np.searchsorted(of_row, np.arange(len(self.qids) + 1))
-        self.terms = rows["term"].map(number).to_numpy()
-        self.weights = rows["qweight"].to_numpy(dtype=np.float64)
 
-
-def _score_batch(best: BestK, asked: _Asked, docs, of_doc, term_ids, weights) -> None:
+def _score_batch(best: BestK, asked: tuple[np.ndarray, ...], docs, of_doc, term_ids, weights) -> None:
     """Offer every document of the batch to the questions it shares a term with."""
+    qids, bounds, terms, factors = asked
     order = np.argsort(term_ids, kind="stable")
     of_doc, weights, term_ids = of_doc[order], weights[order], term_ids[order]
-    begin = np.searchsorted(term_ids, asked.terms, "left")
-    end = np.searchsorted(term_ids, asked.terms, "right")
+    begin = np.searchsorted(term_ids, terms, "left")
+    end = np.searchsorted(term_ids, terms, "right")
     scores, shared = np.zeros(len(docs)), np.zeros(len(docs), dtype=bool)
-    for question in range(len(asked.qids)):
+    for question in range(len(qids)):
         scores[:], shared[:] = 0.0, False
-        for at in range(asked.bounds[question], asked.bounds[question + 1]):
+        for at in range(bounds[question], bounds[question + 1]):
             found = slice(begin[at], end[at])
             rows = of_doc[found]  # a document lists a term once
-            scores[rows] += asked.weights[at] * weights[found]
+            scores[rows] += factors[at] * weights[found]
             shared[rows] = True
         some = np.flatnonzero(shared)
         if len(some):
@@ -159,12 +158,13 @@ def rank_documents(
         known = known if vocabulary is None else vocabulary.select("term", "idf").toPandas()
         words = pa.array(known["term"], pa.string())
         idf = known["idf"].to_numpy()
-        shared = context.broadcast((_Asked(rows, known["term"].tolist()), words, idf))
+        shared = context.broadcast((_as_arrays(rows, known["term"].tolist()), words, idf))
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             asked, words, idf = shared.value
             weight_of = weigh(idf)
-            best = BestK(len(asked.qids), k)
+            qids = asked[0]
+            best = BestK(len(qids), k)
             for batch in batches:
                 terms = batch.column("words")
                 number = pc.index_in(terms.flatten(), value_set=words)
@@ -178,8 +178,8 @@ def rank_documents(
                 weights = weight_of(ids, counts, of_doc[known], lengths)
                 docs = batch.column("doc_id").to_numpy()
                 _score_batch(best, asked, docs, of_doc[known], ids, weights)
-            if len(asked.qids):
-                columns = best.columns(asked.qids, -1.0)
+            if len(qids):
+                columns = best.columns(qids, -1.0)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_HIT_NAMES)
 
         found = lists.mapInArrow(scan, f"qid {kind}, doc_id long, score double")

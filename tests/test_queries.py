@@ -24,3 +24,16 @@ def test_flagship(spark):
 def test_plans_have_no_cartesian_product(spark, name):
     plan = entry.queries()[name](spark, FOLDER)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_task_functions_travel_without_the_package(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from qaspark.plans.bestk import BestK
+
+    (tmp_path / "best").write_bytes(cloudpickle.dumps(BestK))
+    code = "import pickle, sys; sys.path = [p for p in sys.path if 'repo' not in p]; pickle.load(open('best', 'rb'))(1, 2)"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
