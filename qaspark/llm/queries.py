@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from qaspark.llm import bpe
+from qaspark.llm import bpe, decontaminate, lines
 
 QUERIES = {
+    "op3_benchmark_decontamination": decontaminate.op3_benchmark_decontamination,
+    "op5_line_dedup": lines.op5_line_dedup,
     "op6_byte_bpe": bpe.op6_byte_bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_line_dedup": lines.OP5_SQL,
+}
