@@ -1,9 +1,11 @@
 """Byte-level BPE encoding and decoding by merge replay over the distinct words of a block of text.
 
-The words of a block are laid out once each as a chain of byte tokens. An inverted index maps every
-possible merge to the positions where it can be applied; merges are taken in rank order, each is
-applied at all its positions, and only the two neighbours of a merged place get new index entries.
-Every text is then the concatenation of its words' tokens.
+The words of a block are laid out once each as a chain of byte tokens. Neighbouring tokens are indexed
+by the merge they allow; a merge is looked up once for each distinct pair and applied at its word
+positions, lowest rank first, and only the two neighbours of a merged place are indexed anew. Words
+do not touch each other, so rank order is kept word by word: one step takes the lowest merge of every
+word of the block that has one, all as array operations. Every text is then the concatenation of its
+words' tokens.
 
 Rows: a null text counts as empty and gives an empty list of ids; a word of any length is one chain,
 so a text without blanks is no special case; repeated rows are encoded like any other. Columns other
@@ -14,14 +16,16 @@ broadcast does not grow with the data.
 from __future__ import annotations
 
 import base64
-import heapq
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterator, Mapping
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BLOCK_CHARS = 2 << 20
-CACHED_WORDS = 150_000
+CACHED_WORDS = 500_000
+NONE = np.int64(1) << 40
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -30,75 +34,81 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def replay(words: Iterable[bytes], ranks: Mapping[bytes, int], tokens: list[bytes]) -> list[list[int]]:
-    """Token ids of each non-empty word, as if each was merged on its own, lowest rank first."""
-    ids: list[int] = []
-    starts: list[int] = []
-    singles = [ranks[bytes([value])] for value in range(256)]
-    for word in words:
-        starts.append(len(ids))
-        ids.extend([singles[value] for value in word])
-    size = len(ids)
-    if not size:
+class Merges:
+    """The vocabulary as tables: which pairs of tokens make a token."""
+
+    def __init__(self, ranks: Mapping[bytes, int]):
+        pairs = {}
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                one, two = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if one is not None and two is not None:
+                    pairs[one << 32 | two] = rank
+        self.pairs = np.array(sorted(pairs), np.int64)
+        self.made = np.array([pairs[pair] for pair in self.pairs.tolist()] or [0], np.int64)
+        self.single = np.array([ranks[bytes([value])] for value in range(256)], np.int64)
+
+    def ranks(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Rank of the token that each pair makes; NONE if it makes none."""
+        wanted, places = np.unique(one << 32 | two, return_inverse=True)
+        if not len(self.pairs):
+            return np.full(len(one), NONE)
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == wanted, self.made[at], NONE)[places]
+
+
+def replay(words: list[bytes], merges: Merges) -> list[bytes]:
+    """Token ids of each non-empty word, as the bytes of int32 values."""
+    if not words:
         return []
-    right = list(range(1, size + 1))
-    left = list(range(-1, size - 1))
-    for start in starts:
-        left[start] = -1
-        if start:
-            right[start - 1] = -1
-    right[size - 1] = -1
-    known: dict[tuple[int, int], int] = {}
-    places: dict[int, list[int]] = {}
-    queue: list[int] = []
-
-    def merged(at: int) -> int:
-        """Rank of the token made from the one at ``at`` and its right neighbour; -1: none."""
-        pair = ids[at], ids[right[at]]
-        rank = known.get(pair)
-        if rank is None:
-            rank = known[pair] = ranks.get(tokens[pair[0]] + tokens[pair[1]], -1)
-        return rank
-
-    def note(at: int, rank: int) -> None:
-        listed = places.get(rank)
-        if listed is None:
-            places[rank] = [at]
-            heapq.heappush(queue, rank)
-        else:
-            listed.append(at)
-
-    for at in range(size):
-        if right[at] >= 0 and (rank := merged(at)) >= 0:
-            note(at, rank)
-    while queue:
-        rank = heapq.heappop(queue)
-        todo = places.pop(rank)
-        todo.sort()
-        for done, at in enumerate(todo, 1):
-            gone = right[at]
-            if ids[at] < 0 or gone < 0 or merged(at) != rank:
-                continue  # an earlier merge has used one of the two tokens
-            ids[at] = rank
-            after = right[at] = right[gone]
-            ids[gone] = -1
-            lower = False
-            if after >= 0:
-                left[after] = at
-                if (new := merged(at)) >= 0:
-                    note(at, new)
-                    lower = new < rank
-            before = left[at]
-            if before >= 0 and (new := merged(before)) >= 0:
-                note(before, new)
-                lower |= new < rank
-            if lower and done < len(todo):
-                # the word has a lower merge now, which comes before the places still to do
-                for later in todo[done:]:
-                    note(later, rank)
+    sizes = np.array([len(word) for word in words])
+    ids = merges.single[np.frombuffer(b"".join(words), np.uint8)]
+    ends = np.cumsum(sizes)
+    size = len(ids)
+    right = np.arange(1, size + 1)
+    left = np.arange(-1, size - 1)
+    right[ends - 1] = -1
+    left[ends - sizes] = -1
+    rank = np.full(size, NONE)  # of the merge with the right neighbour
+    paired = np.flatnonzero(right >= 0)
+    rank[paired] = merges.ranks(ids[paired], ids[right[paired]])
+    alive = np.ones(size, bool)
+    # places of the words that may have a merge left; a place that is merged away stays until the
+    # next time the list is cut down
+    starts, lengths, steps = ends - sizes, sizes, 0
+    places, begins = np.arange(size), starts
+    while len(starts):
+        best = np.minimum.reduceat(rank[places], begins)
+        going = best < NONE
+        if not going.all() or steps % 4 == 3:
+            keep = np.repeat(going, lengths) & alive[places]
+            owner = np.repeat(np.arange(len(lengths)), lengths)[keep]
+            places = places[keep]
+            lengths = np.bincount(owner, minlength=len(lengths))[going]
+            best = best[going]
+            begins = np.cumsum(lengths) - lengths
+            if not len(lengths):
                 break
-    bounds = [*starts[1:], size]
-    return [[i for i in ids[a:b] if i >= 0] for a, b in zip(starts, bounds, strict=True)]
+        steps += 1
+        # the leftmost place of the lowest rank in each word
+        hit = np.flatnonzero(rank[places] == np.repeat(best, lengths))
+        owner = np.searchsorted(begins, hit, side="right")
+        at = places[hit[np.concatenate(([True], owner[1:] != owner[:-1]))]]
+        gone = right[at]
+        after = right[gone]
+        ids[at] = rank[at]
+        alive[gone] = False
+        rank[gone] = rank[at] = NONE
+        right[at] = after
+        more = after >= 0
+        left[after[more]] = at[more]
+        rank[at[more]] = merges.ranks(ids[at[more]], ids[after[more]])
+        before = left[at]
+        more = before >= 0
+        rank[before[more]] = merges.ranks(ids[before[more]], ids[at[more]])
+    content = ids[alive].astype(np.int32).tobytes()
+    bounds = 4 * np.concatenate(([0], np.cumsum(alive)[ends - 1]))
+    return [content[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
 class Encoder:
@@ -107,20 +117,20 @@ class Encoder:
     def __init__(self, ranks: Mapping[bytes, int], pattern: str):
         import regex
 
-        self.ranks, self.find = ranks, regex.compile(pattern).findall
-        self.tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.tokens[rank] = token
-        self.met: dict[str, list[int]] = {}
+        self.merges, self.find = Merges(ranks), regex.compile(pattern).findall
+        self.met: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> pa.ListArray:
         parts = [self.find(text) for text in texts]
         if len(self.met) > CACHED_WORDS:
             self.met.clear()
-        new = list({word for words in parts for word in words if word not in self.met})
-        replayed = replay([w.encode("utf-8", "replace") for w in new], self.ranks, self.tokens)
-        self.met.update(zip(new, replayed, strict=True))
-        return [[i for word in words for i in self.met[word]] for words in parts]
+        met = self.met
+        new = list({word for words in parts for word in words if word not in met})
+        met.update(zip(new, replay([w.encode() for w in new], self.merges), strict=True))
+        rows = [b"".join([met[word] for word in words]) for words in parts]
+        offsets = np.concatenate(([0], np.cumsum([len(row) // 4 for row in rows]))).astype(np.int32)
+        values = pa.array(np.frombuffer(b"".join(rows), np.int32))
+        return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
 def _blocks(texts: list[str]) -> Iterator[list[str]]:
@@ -148,7 +158,7 @@ def encode(
         for batch in batches:
             pieces = [pa.array([], pa.list_(pa.int32()))]
             for block in _blocks([t or "" for t in batch.to_pylist()]):
-                pieces.append(pa.array(encoder.encode(block), pa.list_(pa.int32())))
+                pieces.append(encoder.encode(block))
             yield pa.concat_arrays(pieces)
 
     return docs.withColumn(to, token_ids(F.col(text)))
@@ -165,13 +175,24 @@ def decode(
 
     @F.arrow_udf("binary")
     def token_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = {rank: token for token, rank in shared.value.items()}
+        known = sorted(shared.value.items(), key=lambda item: item[1])
+        places = np.full(known[-1][1] + 1 if known else 0, -1)
+        places[[rank for _, rank in known]] = np.arange(len(known))
+        tokens = pa.array([token for token, _ in known], pa.large_binary())
         for batch in batches:
-            joined = [
-                b"".join([tokens[i] for i in row.values.to_pylist()]) if row.is_valid else b""
-                for row in batch
-            ]
-            yield pa.array(joined, pa.binary())
+            given = pc.fill_null(batch, pa.scalar([], batch.type))
+            numbers = given.flatten().to_numpy(zero_copy_only=False)
+            if len(numbers) and (numbers.min() < 0 or numbers.max() >= len(places) or places[numbers].min() < 0):
+                raise ValueError("an id is not in the vocabulary")
+            joined = tokens.take(pa.array(places[numbers]))
+            inside = np.frombuffer(joined.buffers()[1], np.int64)[: len(joined) + 1] if len(joined) else np.zeros(1, np.int64)
+            sizes = pc.list_value_length(given).to_numpy(zero_copy_only=False)
+            bounds = inside[np.concatenate(([0], np.cumsum(sizes)))]
+            content = pa.py_buffer(joined.buffers()[2] or b"") if len(joined) else pa.py_buffer(b"")
+            whole = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(given), [None, pa.py_buffer(bounds.astype(np.int64).tobytes()), content]
+            )
+            yield pc.cast(whole, pa.binary())
 
     return encoded.withColumn(to, token_bytes(F.col(ids)))
 
