@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from qaspark.llm import bpe, decontaminate, lines
+from qaspark.llm import bpe, decontaminate, lines, simhash
 
 QUERIES = {
     "op3_benchmark_decontamination": decontaminate.op3_benchmark_decontamination,
     "op5_line_dedup": lines.op5_line_dedup,
     "op6_byte_bpe": bpe.op6_byte_bpe,
+    "op9_simhash_golay": simhash.op9_simhash_golay,
 }
 
 SQL: dict[str, str] = {
