@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from qaspark.llm import bpe, decontaminate, lines, simhash
+from qaspark.llm import bpe, decontaminate, lines, quality, simhash, toxicity
 
 QUERIES = {
     "op3_benchmark_decontamination": decontaminate.op3_benchmark_decontamination,
     "op5_line_dedup": lines.op5_line_dedup,
     "op6_byte_bpe": bpe.op6_byte_bpe,
+    "op7_toxicity": toxicity.op7_toxicity,
+    "op8_quality_cnn": quality.op8_quality_cnn,
     "op9_simhash_golay": simhash.op9_simhash_golay,
 }
 
