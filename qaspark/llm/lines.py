@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from qaspark.llm.flat import SpanHash, blocks, byte_class, flat_bytes, fold_case
-from qaspark.llm.skew import join_counted, plan_bytes, with_row_key
+from qaspark.llm.skew import join_counted, text_bytes, with_row_key
 from qaspark.session import store
 
 MIN_DOCS = 10
@@ -86,9 +86,9 @@ class Bits:
         return found
 
 
-def filter_bits(docs: DataFrame) -> int:
-    """Bits of each filter: a power of two that follows the size of the input, within bounds."""
-    wanted = min(max(plan_bytes(docs) // 16, SHARD_BITS), MAX_BITS)
+def filter_bits(size: int) -> int:
+    """Bits of each filter for so many bytes of text: a power of two, within bounds."""
+    wanted = min(max(size // 16, SHARD_BITS), MAX_BITS)
     return 1 << (wanted - 1).bit_length()
 
 
@@ -194,7 +194,7 @@ def drop_lines(
     if min_docs < 2 or keep not in ("none", "first"):
         raise ValueError("min_docs starts at 2; keep is none or first")
     keyed = with_row_key(docs, doc_id, text)
-    found = store(suspected(keyed, doc_id, text, min_chars, bits or filter_bits(docs)), "lines")
+    found = store(suspected(keyed, doc_id, text, min_chars, bits or filter_bits(text_bytes(docs, text))), "lines")
     total = found.count()
     first = F.min(F.struct("doc", "k1", "k2", "line")).alias("first")
     groups = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), first)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from qaspark.llm import bpe, decontaminate, lines, quality, simhash, toxicity
+from qaspark.llm import bpe, decontaminate, language_model, lines, quality, simhash, toxicity
 
 QUERIES = {
     "op3_benchmark_decontamination": decontaminate.op3_benchmark_decontamination,
@@ -11,6 +11,7 @@ QUERIES = {
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_quality_cnn": quality.op8_quality_cnn,
     "op9_simhash_golay": simhash.op9_simhash_golay,
+    "op10_language_model": language_model.op10_language_model,
 }
 
 SQL: dict[str, str] = {

@@ -42,9 +42,6 @@ def join_counted(
     )
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Size of the input as the optimizer estimates it, from file sizes; no job is run.
-
-    For choosing a number of parts only: results must not depend on it.
-    """
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def text_bytes(df: DataFrame, text: str) -> int:
+    """Bytes of all texts. For choosing a number of parts only: results do not depend on it."""
+    return int(df.agg(F.coalesce(F.sum(F.octet_length(F.col(text)).cast("long")), F.lit(0))).first()[0])
