@@ -4,7 +4,7 @@ Pass 1 fills both filters in every task and merges them by shard, bit by bit: wh
 seen once has been seen twice. Pass 2 looks every line up in the second filter; only lines that may
 repeat leave their task, as a 128-bit key, and are counted exactly. A false positive costs one row in
 that shuffle and nothing else, so results do not depend on the filter size. That size follows the
-input up to ``MAX_BITS`` (64 MB broadcast); beyond it the filter passes more lines on.
+input up to ``bloom.MAX_BITS`` (64 MB broadcast); beyond it the filter passes more lines on.
 
 A line that very many documents share is counted by partial sums and joined back by a broadcast of
 the few such keys. The texts are shuffled once, by row, to meet the list of their dropped lines.
@@ -16,21 +16,19 @@ count as so many documents and get the same result; columns are kept, whatever t
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from qaspark.llm.bloom import Bits, filter_bits, seen_twice
 from qaspark.llm.flat import SpanHash, blocks, byte_class, flat_bytes, fold_case
 from qaspark.llm.skew import join_counted, text_bytes, with_row_key
 from qaspark.session import store
 
 MIN_DOCS = 10
 MIN_CHARS = 1
-SHARD_BITS = 1 << 20
-MAX_BITS = 1 << 29
 BLANK = byte_class((0x09, 0x0D), (0x20, 0x20))
 
 
@@ -64,90 +62,30 @@ class LineKeys:
         return owner, line, one, two, counts
 
 
-class Bits:
-    """A Bloom filter of two probes; the bits of a key come from its two halves."""
+def _keys_per_text(min_chars: int):
+    """For the filter: each key once for every text that has it."""
 
-    def __init__(self, size: int, content: np.ndarray | None = None):
-        self.mask = np.uint64(size - 1)
-        self.content = np.zeros(size // 8, np.uint8) if content is None else content
-
-    def _places(self, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for half in (keys & self.mask, (keys >> np.uint64(32)) & self.mask):
-            yield (half >> np.uint64(3)).astype(np.int64), np.uint8(1) << (half & np.uint64(7)).astype(np.uint8)
-
-    def add(self, keys: np.ndarray) -> None:
-        for at, bit in self._places(keys):
-            np.bitwise_or.at(self.content, at, bit)
-
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        found = np.ones(len(keys), bool)
-        for at, bit in self._places(keys):
-            found &= (self.content[at] & bit) != 0
-        return found
-
-
-def filter_bits(size: int) -> int:
-    """Bits of each filter for so many bytes of text: a power of two, within bounds."""
-    wanted = min(max(size // 16, SHARD_BITS), MAX_BITS)
-    return 1 << (wanted - 1).bit_length()
-
-
-def repeated_filter(texts: DataFrame, min_chars: int, bits: int) -> np.ndarray:
-    """The merged filter of keys that may occur in two documents; ``bits / 8`` bytes."""
-    shard_bytes = SHARD_BITS // 8
+    def load():
+        keys = LineKeys(min_chars)
 
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, once, twice = LineKeys(min_chars), Bits(bits), Bits(bits)
-        for batch in batches:
+        def run(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
             for block in blocks(batch.column(0)):
                 owner, _, one, _, _ = keys(block)
                 order = np.lexsort((owner, one))
                 one, owner = one[order], owner[order]
-                new = np.concatenate(([True], (one[1:] != one[:-1]) | (owner[1:] != owner[:-1])))[: len(one)]
-                one = one[new]  # once per text
-                again = np.concatenate(([False], one[1:] == one[:-1]))[: len(one)]
-                twice.add(one[again])
-                one = one[~again]
-                twice.add(one[once.has(one)])
-                once.add(one)
-        for shard in range(bits // SHARD_BITS):
-            part = slice(shard * shard_bytes, (shard + 1) * shard_bytes)
-            if once.content[part].any():
-                packed = [zlib.compress(x.content[part].tobytes(), 1) for x in (once, twice)]
-                yield pa.RecordBatch.from_pydict({"shard": [shard], "once": packed[:1], "twice": packed[1:]})
+                new = np.ones(len(one), bool)
+                new[1:] = (one[1:] != one[:-1]) | (owner[1:] != owner[:-1])
+                yield one[new]
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                new = [np.frombuffer(zlib.decompress(row[n]), np.uint8) for n in ("once", "twice")]
-                if row["shard"] not in found:
-                    found[row["shard"]] = new[0].copy(), new[1].copy()
-                    continue
-                once, twice = found[row["shard"]]
-                twice |= new[1]
-                twice |= once & new[0]
-                once |= new[0]
-        for shard, (_, twice) in found.items():
-            yield pa.RecordBatch.from_pydict({"shard": [shard], "twice": [zlib.compress(twice.tobytes(), 1)]})
+        return run
 
-    shards = (
-        texts
-        .mapInArrow(fill, "shard long, once binary, twice binary")
-        .repartition(min(bits // SHARD_BITS, 256), "shard")
-        .mapInArrow(merge, "shard long, twice binary")
-    )
-    whole = np.zeros(bits // 8, np.uint8)
-    for row in shards.toLocalIterator():  # bits / 8 bytes altogether
-        part = np.frombuffer(zlib.decompress(row.twice), np.uint8)
-        whole[row.shard * shard_bytes : (row.shard + 1) * shard_bytes] = part
-    return whole
+    return load
 
 
 def suspected(keyed: DataFrame, doc_id: str, text: str, min_chars: int, bits: int) -> DataFrame:
     """(k1, k2, doc, line, h1, h2): lines that may be in two documents, once per row."""
     shared = keyed.sparkSession.sparkContext.broadcast(
-        repeated_filter(keyed.select(F.col("row").getField(text).alias("text")), min_chars, bits)
+        seen_twice(keyed.select(F.col("row").getField(text).alias("text")), _keys_per_text(min_chars), bits)
     )
     given = keyed.select(
         "k1", "k2", F.col("row").getField(doc_id).cast("string").alias("doc"), F.col("row").getField(text).alias("text")
@@ -194,7 +132,7 @@ def drop_lines(
     if min_docs < 2 or keep not in ("none", "first"):
         raise ValueError("min_docs starts at 2; keep is none or first")
     keyed = with_row_key(docs, doc_id, text)
-    found = store(suspected(keyed, doc_id, text, min_chars, bits or filter_bits(text_bytes(docs, text))), "lines")
+    found = store(suspected(keyed, doc_id, text, min_chars, bits or filter_bits(text_bytes(docs, text) // 256)), "lines")
     total = found.count()
     first = F.min(F.struct("doc", "k1", "k2", "line")).alias("first")
     groups = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), first)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from qaspark.llm import bpe, decontaminate, language_model, lines, quality, simhash, toxicity
+from qaspark.llm import bpe, decontaminate, language_model, lines, quality, simhash, suffix, toxicity
 
 QUERIES = {
+    "op1_suffix_dedup": suffix.op1_suffix_dedup,
     "op3_benchmark_decontamination": decontaminate.op3_benchmark_decontamination,
     "op5_line_dedup": lines.op5_line_dedup,
     "op6_byte_bpe": bpe.op6_byte_bpe,

@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from qaspark.llm import lines
+from qaspark.llm import bloom, lines
 
 
 def key(line):
@@ -52,7 +52,7 @@ def test_against_brute_force(spark, min_docs, min_chars, keep):
 def test_a_full_filter_changes_nothing(spark, monkeypatch):
     docs = made(8, 300)
     table = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    monkeypatch.setattr(lines, "SHARD_BITS", 64)
+    monkeypatch.setattr(bloom, "SHARD_BITS", 64)
     rows = lines.drop_lines(table, bits=128).collect()
     assert {r.doc_id: r.text or "" for r in rows} == {d: t[2] for d, t in brute(docs, 10, 1, "none").items()}
 
