@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from qaspark.llm import bpe, decontaminate, language_model, lines, quality, simhash, suffix, toxicity
+from qaspark.llm import bpe, decontaminate, language_model, lines, permutation_index, quality, simhash, suffix, toxicity
 
 QUERIES = {
     "op1_suffix_dedup": suffix.op1_suffix_dedup,
+    "op2_permutation_index": permutation_index.op2_permutation_index,
     "op3_benchmark_decontamination": decontaminate.op3_benchmark_decontamination,
     "op5_line_dedup": lines.op5_line_dedup,
     "op6_byte_bpe": bpe.op6_byte_bpe,
