@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from qaspark.llm import bpe, decontaminate, language_model, lines, permutation_index, quality, simhash, suffix, toxicity
+from qaspark.llm import bpe, decontaminate, language_model, licenses, lines, permutation_index, quality, simhash, suffix, toxicity
 
 QUERIES = {
     "op1_suffix_dedup": suffix.op1_suffix_dedup,
     "op2_permutation_index": permutation_index.op2_permutation_index,
     "op3_benchmark_decontamination": decontaminate.op3_benchmark_decontamination,
+    "op4_license_scan": licenses.op4_license_scan,
     "op5_line_dedup": lines.op5_line_dedup,
     "op6_byte_bpe": bpe.op6_byte_bpe,
     "op7_toxicity": toxicity.op7_toxicity,
@@ -17,5 +18,6 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op4_license_scan": licenses.op4_license_scan,
     "op5_line_dedup": lines.OP5_SQL,
 }
