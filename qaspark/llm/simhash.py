@@ -7,8 +7,8 @@ most two bits apart have the word half way in common, and so share a key. With a
 differing bits in all, a + b + c <= 4 over the segments and the rest:
 
 * c = 0: a <= 2 or b <= 2, so the pair shares (rest, key of that segment);
-* c > 0: a + b <= 3, so a = 0 or b = 0 and the pair shares that whole segment, or both are at most
-  two and the pair shares (key of the one, key of the other).
+* c > 0: a + b <= 3, so a = 0 or b = 0 and the pair shares that whole segment, or both are one or two
+  and c is at most two: then the pair shares (key of the one, key of the other, one third of the rest).
 
 Fingerprints that share a key are compared bit by bit. Equal fingerprints are one node from the
 start, so exact copies meet nowhere. The fingerprints of a key are not paired with each other: a
@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from qaspark.llm.flat import blocks, byte_class, flat_bytes, fold_case, words_of
 from qaspark.llm.skew import join_counted, with_row_key
+from qaspark.plans.broadcasts import union_all
 from qaspark.session import store
 
 SHINGLE = 4
@@ -146,13 +147,14 @@ def fuzzy_keys(prints: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.nd
     at2 = np.cumsum(n2) - n2
     repeat = n2[p1]
     both = _ranges(at2[p1], repeat)
-    places = [p1, p2, np.repeat(p1, repeat), every, every]
+    pair, pair_key = np.repeat(p1, repeat), np.repeat(k1, repeat) << 12 | k2[both]
+    places = [p1, p2, every, every, pair, pair, pair]
     keys = [
         rest[p1] << 12 | k1,
         1 << 40 | rest[p2] << 12 | k2,
-        2 << 40 | np.repeat(k1, repeat) << 12 | k2[both],
-        3 << 40 | one,
-        4 << 40 | two,
+        2 << 40 | one,
+        3 << 40 | two,
+        *((4 + third) << 40 | ((rest[pair] >> 6 * third) & 63) << 24 | pair_key for third in range(3)),
     ]
     return np.concatenate(places), np.concatenate(keys)
 
@@ -182,33 +184,47 @@ def local_links(prints: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     return [(a - (1 << 64) * (a >> 63), b - (1 << 64) * (b >> 63)) for a, b in links]
 
 
-def _link_groups(max_bits: int):
+def _link_groups(max_bits: int, group: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by key; a key has a bounded number of prints."""
-        key, held = None, []
+        """Rows come sorted by key. A key's prints are held up to ``group``; of a larger key the rows
+        are passed on, to be split."""
+        key, held, size = None, [], 0
 
-        def links():
-            prints = np.unique(np.concatenate(held)) if held else np.empty(0, np.int64)
-            return local_links(prints, max_bits) if len(prints) > 1 else []
+        def passing() -> bool:
+            return group is not None and size > group
+
+        def links() -> list[tuple[int, int]]:
+            return local_links(np.unique(np.concatenate(held)), max_bits) if size > 1 and not passing() else []
 
         for batch in batches:
             keys, prints = (batch.column(n).to_numpy(zero_copy_only=False) for n in (0, 1))
+            change = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+            edges = np.concatenate(([0], change, [len(keys)])).astype(np.int64)
+            # keys of one print, inside the batch, have no links
+            lone = np.flatnonzero(np.diff(edges) == 1)
+            lone = set(lone[(lone > 0) & (lone < len(edges) - 2)].tolist())
             out = []
-            edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-            for a, b in zip(edges[:-1], edges[1:]):
-                if b > a and keys[a] != key:
+            for n, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+                if a == b or n in lone:
+                    continue
+                if keys[a] != key:
                     out += links()
-                    key, held = keys[a], []
+                    key, held, size = keys[a], [], 0
                 held.append(prints[a:b])
-            yield _pairs(out)
-        yield _pairs(links())
+                size += b - a
+                if passing():
+                    for part in held:
+                        yield _rows(np.column_stack((np.full(len(part), key), part)), True)
+                    held = []
+            yield _rows(np.array(out, np.int64).reshape(-1, 2), False)
+        yield _rows(np.array(links(), np.int64).reshape(-1, 2), False)
 
     return run
 
 
-def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
-    rows = np.array(links, np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], ["a", "b"])
+def _rows(pairs: np.ndarray, large: bool) -> pa.RecordBatch:
+    columns = [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(np.full(len(pairs), large))]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b", "large"])
 
 
 def _part_keys(parts: int, choose: int) -> list[Column]:
@@ -240,28 +256,21 @@ def find_links(distinct: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[places])], ["key", "fp"])
 
     level = distinct.mapInArrow(expand, "key long, fp long")
-    found = None
+    found = []
     # one of five parts has no error; of six parts, two have none
     for split in (_part_keys(5, 1), _part_keys(6, 2), None):
-        level = store(level, "keys")
-        sizes = level.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        sizes = store(sizes, "sizes")
-        small = sizes.filter(F.col("n") <= group) if split else sizes
-        many = sizes.filter(F.col("n") > group).select("key") if split else None
-        linked = (
-            level.join(small.select("key"), "key", "left_semi")
-            .select("key", "fp")
-            .repartition("key")
+        settled = store(
+            level.repartition("key")
             .sortWithinPartitions("key")
-            .mapInArrow(_link_groups(max_bits), "a long, b long")
+            .mapInArrow(_link_groups(max_bits, group if split else None), "a long, b long, large boolean"),
+            "links",
         )
-        found = linked if found is None else found.unionByName(linked)
-        if many is None or not many.take(1):
+        found.append(settled.filter("not large").select("a", "b"))
+        large = settled.filter("large").select(F.col("a").alias("key"), F.col("b").alias("fp"))
+        if not split or not large.take(1):
             break
-        total = level.count()
-        hot = join_counted(level, sizes.filter(F.col("n") > group), ["key"], "n", total)
-        level = hot.select(F.explode(F.array(*split)).alias("key"), "fp")
-    return found.distinct()
+        level = large.select(F.explode(F.array(*split)).alias("key"), "fp")
+    return union_all(found).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
