@@ -15,7 +15,6 @@ from qaspark.checks.tables import (
 from qaspark.operators import chunks as ch, decode, ensemble as vote, losses, metrics, prepare, stats
 from qaspark.plans.broadcasts import union_all
 from qaspark.plans.order import row_index
-from qaspark.plans.topk import top_n
 from qaspark.session import scratch_path, store
 from qaspark.sources import readers, writers
 
@@ -56,8 +55,7 @@ def test_chunks(spark, folder):
 def pad_mask(spark, folder):
     rows = qa(spark, folder).select("id", "question", "context")
     words = prepare.tokenize_rows(rows, "id", "context").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    common = top_n(words, [F.col("n").desc(), F.col("token")], 1000, ["token"])
-    ranked = row_index(common.withColumn("m", -F.col("n")), ["m", "token"])
+    ranked = row_index(words.withColumn("m", -F.col("n")), ["m", "token"])
     vocabulary = ranked.select("token", (F.col("row_no") + 4).cast("int").alias("token_id"))
     padded = ch.encode_pad(ch.chunk(rows, MAX_LEN, OVERLAP), vocabulary, SPECIAL_IDS)
     return padded.select(
@@ -91,7 +89,8 @@ def pair_text(spark, folder):
 def label_pos_hist(spark, folder):
     rows = ch.align_labels(labelled(spark, folder))
     tokens = stats.histogram(rows, {"token": F.col("start_pos")}, 10, 55)
-    chars = stats.histogram(rows.filter("chunk_no = 0"), {"char": F.col("start_char")}, 10, 150)
+    asked = prepare.with_span(qa(spark, folder))
+    chars = stats.histogram(asked, {"char": F.col("start_char")}, 10, 150)
     return tokens.unionByName(chars)
 
 
@@ -128,7 +127,7 @@ def max_context_decode(spark, folder):
     rows = scored_chunks(spark, folder)
     fresh = F.transform(
         "offsets",
-        lambda o, i: (F.col("chunk_no") == 0) | (i >= F.col("q_len") + 2 + OVERLAP),
+        lambda o, i: (F.col("chunk_no") == 0) | (i >= F.col("q_len") + 2 + F.col("shared")),
     )
     decoded = decode.decode_spans(
         rows.withColumn("fresh", fresh), _examples(spark, folder), max_context="fresh"
@@ -244,15 +243,15 @@ QUERIES = {
 def _sql_chunks(max_len=MAX_LEN, overlap=OVERLAP):
     return f"""{SQL_QA},
     sized as (select id, question, n, answer_start, answer_start + length(answer_text) as answer_end,
-      len({sql_tokens('question')}) as q,
-      greatest({max_len} - 3 - len({sql_tokens('question')}), {overlap} + 1) as room from qa),
-    numbered as (select *, unnest(range(cast(1 + ceil(greatest(n - room, 0) / (room - {overlap})) as bigint))) as chunk_no
+      len({sql_tokens('question')}) as q, {max_len} - 3 - len({sql_tokens('question')}) as room,
+      least({overlap}, ({max_len} - 3 - len({sql_tokens('question')})) // 2) as ov from qa),
+    numbered as (select *, unnest(range(cast(1 + ceil(greatest(n - room, 0) / (room - ov)) as bigint))) as chunk_no
       from sized),
-    chunks as materialized (select *, chunk_no * (room - {overlap}) as beg,
-      least(room, n - chunk_no * (room - {overlap})) as m from numbered),
+    chunks as materialized (select *, chunk_no * (room - ov) as beg,
+      least(room, n - chunk_no * (room - ov)) as m from numbered),
     inside as materialized (select c.id, c.chunk_no, o.pos - 1 - c.beg + c.q + 2 as p, o.s, o.e, o.token
       from chunks c join offsets o on o.id = c.id and o.pos > c.beg and o.pos <= c.beg + c.m),
-    positions as materialized (select c.id, c.chunk_no, c.q, c.p, i.s, i.e
+    positions as materialized (select c.id, c.chunk_no, c.q, c.ov, c.p, i.s, i.e
       from (select *, unnest(range(q + m + 3)) as p from chunks) c
       left join inside i on i.id = c.id and i.chunk_no = c.chunk_no and i.p = c.p)"""
 
@@ -369,14 +368,15 @@ def _sql_negatives(n, seed):
 
 
 SQL = {
-    "chunk_windows": f"""with {_sql_chunks()} select id, chunk_no, count(*) as n_tokens,
-        string_agg(token, ' ' order by p) as part from inside group by id, chunk_no""",
+    "chunk_windows": f"""with {_sql_chunks()} select c.id, c.chunk_no, count(i.token) as n_tokens,
+        coalesce(string_agg(i.token, ' ' order by i.p), '') as part
+        from chunks c left join inside i on i.id = c.id and i.chunk_no = c.chunk_no group by all""",
     "token_offsets": f"with {_sql_chunks()} select id, chunk_no, p as pos, s, e from positions",
     "label_align": f"with {_sql_chunks()}, {_LABELS} select id, chunk_no, start_pos, end_pos from labels_at",
     "test_chunks": f"""with {_sql_chunks(64, 16)} select id, chunk_no, q + m + 3 as n_positions, m as n_tokens
         from chunks""",
     "pad_mask": f"""with {_sql_chunks()},
-        common as (select token, count(*) as n from offsets group by token order by n desc, token limit 1000),
+        common as (select token, count(*) as n from offsets group by token),
         vocabulary as (select token, row_number() over (order by n desc, token) + 3 as token_id from common),
         qtok as (select id, unnest({sql_tokens('question')}) as token,
           generate_subscripts({sql_tokens('question')}, 1) as p from qa),
@@ -395,12 +395,12 @@ SQL = {
           from tagged join documents on doc_id = qid)
         select qid, cand_no, md5(t) as pair_md5, length(t) as n from pair""",
     "label_pos_hist": f"""with {_sql_chunks()}, {_LABELS}
-        select 'token' as metric, bin, count(start_pos) as n from (select unnest(range(55)) as bin)
-          left join labels_at on start_pos > bin * 10 and start_pos <= (bin + 1) * 10 group by bin
-        union all select 'char', bin, count(answer_start) from (select unnest(range(150)) as bin)
-          left join qa on answer_start > bin * 10 and answer_start <= (bin + 1) * 10 group by bin""",
+        select 'token' as metric, bin, count(start_pos) as n from (select unnest(range(-1, 56)) as bin)
+          left join labels_at on least(greatest(ceil(start_pos / 10) - 1, -1), 55) = bin group by bin
+        union all select 'char', bin, count(answer_start) from (select unnest(range(-1, 151)) as bin)
+          left join qa on least(greatest(ceil(answer_start / 10) - 1, -1), 150) = bin group by bin""",
     "span_decode": f"with {_sql_decode()} {_NBEST}",
-    "max_context_decode": f"with {_sql_decode(where=f'and (chunk_no = 0 or p >= q + 2 + {OVERLAP})')} {_NBEST}",
+    "max_context_decode": f"with {_sql_decode(where='and (chunk_no = 0 or p >= q + 2 + ov)')} {_NBEST}",
     "null_decode": f"""with {_sql_decode(n=10, null=True)},
         lows as (select id, min(start_logit + end_logit) as low from logits where p = 0 group by id),
         firsts as (select *, row_number() over (partition by id order by rank) as k from final where text <> ''),

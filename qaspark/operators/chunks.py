@@ -29,26 +29,30 @@ def chunk(
 ) -> DataFrame:
     """Cut the contexts of (id, question, context, …) rows: one row per chunk.
 
-    Adds (chunk_no, q_len, tokens, offsets); neighbours share ``overlap`` tokens, the last chunk is
-    the first that reaches the end. A question that leaves no room for more than the overlap still
-    moves on by one token per chunk, so such features get longer than ``max_len``.
-    Other columns, apart from the context, go along.
+    Adds (chunk_no, q_len, shared, tokens, offsets); neighbours share ``overlap`` tokens, the last
+    chunk is the first that reaches the end. No feature is longer than ``max_len``: next to a long
+    question, neighbours share half of the room that is left (``shared``). A question that leaves no
+    room raises. Other columns, apart from the context, go along.
     """
     q_len = F.size(tokenize(F.col("question"), scheme))
+    room = F.lit(max_len - SPECIALS) - q_len
+    full = F.raise_error(F.concat(F.lit("no room beside a question of words: "), q_len.cast("string")))
     prepared = F.struct(
         tokenize(F.col("context"), scheme).alias("tokens"),
         offsets(F.col("context")).alias("offsets"),
-        F.greatest(F.lit(max_len - SPECIALS) - q_len, F.lit(overlap + 1)).alias("room"),
+        F.when(room >= 1, room).otherwise(full.cast("int")).alias("room"),
     )
 
     def parts(row: Column) -> Column:
         room, size = row["room"], F.size(row["tokens"])
-        step = room - overlap
+        shared = F.least(F.lit(overlap), F.floor(room / 2).cast("int"))
+        step = room - shared
         last = F.when(size <= room, 0).otherwise(F.ceil((size - room) / step)).cast("int")
         return F.transform(
             F.sequence(F.lit(0), last),
             lambda i: F.struct(
                 i.alias("chunk_no"),
+                shared.alias("shared"),
                 F.slice(row["tokens"], i * step + 1, room).alias("tokens"),
                 F.slice(row["offsets"], i * step + 1, room).alias("offsets"),
             ),

@@ -26,9 +26,18 @@ def test_windows(spark):
     assert windows(spark, 9, 4, 2)[-1] == (6, 9)
 
 
-def test_long_question_still_moves_on(spark):
-    rows = ch.chunk(qa_row(spark, 6, "q " * 50), 20, 2).collect()
-    assert {t for r in rows for t in r["tokens"]} == {f"t{i}" for i in range(6)}
+@pytest.mark.parametrize("words", [0, 5, 12, 14, 15, 16])
+def test_no_feature_above_the_longest_and_no_token_lost(spark, words):
+    rows = ch.chunk(qa_row(spark, 30, "q " * words), 20, 8).orderBy("chunk_no").collect()
+    assert {t for r in rows for t in r["tokens"]} == {f"t{i}" for i in range(30)}
+    assert all(len(r["tokens"]) + words + ch.SPECIALS <= 20 for r in rows)
+    for one, two in zip(rows, rows[1:]):
+        assert one["tokens"][len(one["tokens"]) - one["shared"] :] == two["tokens"][: one["shared"]]
+
+
+def test_question_without_room_raises(spark):
+    with pytest.raises(Exception, match="no room"):
+        ch.chunk(qa_row(spark, 6, "q " * 17), 20, 2).collect()
 
 
 def test_empty_context_gives_one_empty_chunk(spark):
