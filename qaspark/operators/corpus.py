@@ -15,25 +15,39 @@ from qaspark.session import materialize
 
 
 def _first_seen(df: DataFrame, text: str, order: str) -> DataFrame:
-    """Smallest ``order`` per distinct text. Only digests and keys travel, and equal texts shrink
-    to one row per map task first, so a text that fills a third of the corpus costs no more."""
-    return df.groupBy(F.sha2(text, 256).alias("_digest")).agg(F.min(order).alias(order))
+    """Smallest ``order`` per distinct text, and how many rows have it. Only digests and keys travel,
+    and equal texts shrink to one row per map task first, so a text that fills a third of the corpus
+    costs no more."""
+    return df.groupBy(F.sha2(text, 256).alias("_digest")).agg(
+        F.min(order).alias(order), F.count(F.lit(1)).alias("_rows")
+    )
+
+
+def _later_keys(df: DataFrame, text: str, order: str) -> DataFrame:
+    """Keys of the rows whose text occurred before: stored, and broadcast if they measure small.
+
+    Texts that occur once are left out before their keys meet anything.
+    """
+    repeated = _first_seen(df, text, order).filter("_rows > 1").select("_digest", F.col(order).alias("_first"))
+    keys = df.select(order, F.sha2(text, 256).alias("_digest"))
+    later = keys.join(broadcast_if_small(materialize(repeated)), "_digest")
+    return broadcast_if_small(materialize(later.filter(F.col(order) != F.col("_first")).select(order)))
 
 
 def dedup_corpus(
     df: DataFrame, text: str = "text", order: str = "doc_id", dense_id: str | None = None
 ) -> DataFrame:
     """Keep the first row of each text by the unique key ``order``; optionally number the rest."""
-    first = _first_seen(df, text, order).select(order)
     if dense_id is None:
-        return df.join(first, order, "left_semi")
+        return df.join(_later_keys(df, text, order), order, "left_anti")
+    first = _first_seen(df, text, order).select(order)
     return df.join(row_index(first, [order], dense_id), order)
 
 
 def find_duplicates(df: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
     """Rows whose text occurred before, shortest first."""
-    first = _first_seen(df, text, order).select(order)
-    return df.join(first, order, "left_anti").orderBy(F.length(text), order)
+    later = _later_keys(df, text, order)
+    return df.join(later, order, "left_semi").orderBy(F.length(text), order)
 
 
 def dedup_effect(df: DataFrame, before: Column, after: Column) -> DataFrame:

@@ -96,15 +96,20 @@ def distinct_values(df: DataFrame, column: str, approximate: bool = False) -> Da
 
 
 def histogram(df: DataFrame, metrics: Mapping[str, Column], width: float, bins: int) -> DataFrame:
-    """Counts of ``i*width < x <= (i+1)*width`` for ``bins`` bins; empty bins stay, others drop."""
+    """Counts of ``i*width < x <= (i+1)*width`` for ``bins`` bins; empty bins stay.
+
+    Bin -1 counts what lies at or below 0, bin ``bins`` what lies above the last, so that the counts
+    add up to the values there are.
+    """
     long = as_metrics(df, metrics)
     found = (
-        long.withColumn("bin", (F.ceil(F.col("value") / width) - 1).cast("long"))
-        .filter(F.col("bin").between(0, bins - 1))
+        long.filter(F.col("value").isNotNull())
+        .withColumn("bin", (F.ceil(F.col("value") / width) - 1).cast("long"))
+        .withColumn("bin", F.least(F.greatest("bin", F.lit(-1)), F.lit(bins)).cast("long"))
         .groupBy("metric", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    frame = df.sparkSession.range(bins).select(
+    frame = df.sparkSession.range(-1, bins + 1).select(
         F.col("id").alias("bin"),
         F.explode(F.array(*[F.lit(name) for name in metrics])).alias("metric"),
     )

@@ -104,7 +104,9 @@ def test_context_is_joined_in_rank_order(spark, rows):
 def test_histogram_edges(spark, rows):
     df = spark.createDataFrame([(v,) for v in (5, 10, 11, 20, 21, 95)], "v int")
     got = rows(stats.histogram(df, {"v": F.col("v")}, 10, 5), "bin")
-    assert got == [("v", 0, 2), ("v", 1, 2), ("v", 2, 1), ("v", 3, 0), ("v", 4, 0)]
+    assert got == [("v", -1, 0), ("v", 0, 2), ("v", 1, 2), ("v", 2, 1), ("v", 3, 0), ("v", 4, 0), ("v", 5, 1)]
+    below = spark.createDataFrame([(0,), (-7,), (None,), (300,)], "v int")
+    assert sum(r[2] for r in rows(stats.histogram(below, {"v": F.col("v")}, 10, 5), "bin")) == 3
 
 
 def test_describe_and_box(spark):
