@@ -75,7 +75,7 @@ def bm25_single(spark, folder):
 def index_reuse(spark, folder):
     docs = passages(spark, folder)
     store = IndexStore(spark, scratch_path(spark, "store"))
-    mark = fingerprint(docs, "doc_id", "text", scheme="space", lower=True)
+    mark = fingerprint(docs, "doc_id", "text", scheme="space", lower=False)
     store.get_or_build(mark, lambda: bm25.index_tables(docs))
 
     def stale():
@@ -149,7 +149,7 @@ _DEDUP = f"""{SQL_CORPUS}, {SQL_QUESTIONS}, passages as materialized (
                                    from corpus) where n = 1)"""
 
 _INDEX = f"""{_DEDUP},
-toks as materialized (select doc_id, unnest({sql_tokens('lower(text)')}) as term from passages),
+toks as materialized (select doc_id, unnest({sql_tokens('text')}) as term from passages),
 tf as materialized (select doc_id, term, count(*) as tf from toks group by all),
 lens as materialized (select p.doc_id, coalesce(t.length, 0) as length from passages p
   left join (select doc_id, count(*) as length from toks group by 1) t using (doc_id)),
@@ -170,7 +170,7 @@ hits as materialized (select * from ranked where rank <= 10)"""
 
 
 def _scored(where="", source="questions"):
-    return _SCORED.format(tokens=sql_tokens("lower(question)"), where=where, source=source)
+    return _SCORED.format(tokens=sql_tokens("question"), where=where, source=source)
 
 
 _BM25 = f"{_INDEX}, {_scored()}"
