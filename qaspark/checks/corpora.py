@@ -318,9 +318,9 @@ def _sql_box(metric, column, source):
 
 def _sql_histogram(metric, column, source, width, bins):
     return f"""select '{metric}' as metric, b.bin, count(v) as n
-      from (select unnest(range({bins})) as bin) b
+      from (select unnest(range(-1, {bins} + 1)) as bin) b
       left join (select cast({column} as double) as v from {source}) s
-        on s.v > b.bin * {width} and s.v <= (b.bin + 1) * {width}
+        on least(greatest(ceil(s.v / {width}) - 1, -1), {bins}) = b.bin
       group by b.bin"""
 
 

@@ -32,7 +32,11 @@ def questions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dialogue_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """A user turn is a question, the assistant turn that follows it is its context."""
+    """A user turn is a question, the assistant turn that follows it is its context.
+
+    The conversation's system turns stand before that context; a question without an answer has
+    nothing else.
+    """
     turns = read_table(spark, f"{folder}/conversations.parquet", ["conv_id", "turn"])
     asked = turns.filter("role = 'user'").select(
         "conv_id", "turn", F.col("text").alias("question")
@@ -40,7 +44,16 @@ def dialogue_pairs(spark: SparkSession, folder: str) -> DataFrame:
     told = turns.filter("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("context")
     )
-    return asked.join(told, ["conv_id", "turn"]).select(
+    rules = (
+        turns.filter("role = 'system'")
+        .groupBy("conv_id")  # the system turns of one conversation
+        .agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).getField("text").alias("rules"))
+    )
+    context = F.array_join(
+        F.concat(F.coalesce("rules", F.array().cast("array<string>")), F.array(F.coalesce("context", F.lit("")))), "\n"
+    )
+    pairs = asked.join(told, ["conv_id", "turn"], "left").join(rules, "conv_id", "left")
+    return pairs.withColumn("context", context).select(
         F.concat_ws("-", F.lit("conv"), "conv_id", "turn").alias("id"),
         "conv_id",
         "turn",
@@ -87,9 +100,12 @@ SQL_QUESTIONS = """questions as (select item_id as qid, text as question from be
 
 SQL_PAIRS = """pairs as (
   select 'conv-' || u.conv_id || '-' || u.turn as id, u.conv_id, u.turn,
-         u.text as question, a.text as context
-  from conversations u join conversations a on a.conv_id = u.conv_id and a.turn = u.turn + 1
-  where u.role = 'user' and a.role = 'assistant')"""
+         u.text as question, coalesce(r.rules || chr(10), '') || coalesce(a.text, '') as context
+  from conversations u
+  left join conversations a on a.conv_id = u.conv_id and a.turn = u.turn + 1 and a.role = 'assistant'
+  left join (select conv_id, string_agg(text, chr(10) order by turn) as rules
+             from conversations where role = 'system' group by conv_id) r on r.conv_id = u.conv_id
+  where u.role = 'user')"""
 
 # token offsets by running sums: blanks before a token, and the tokens with their blanks before it
 SQL_OFFSETS = f"""pieces as (
@@ -112,7 +128,7 @@ SQL_QA = (
     + """,
 counted as (select id, max(pos) as n from offsets group by id),
 qa as (
-  select p.id, p.conv_id, p.turn, p.question, p.context, c.n,
+  select p.id, p.conv_id, p.turn, p.question, p.context, coalesce(c.n, 0) as n,
          cast(o.s as integer) as answer_start,
          substr(p.context, cast(o.s as integer) + 1, cast(l.e - o.s as integer)) as answer_text
   from pairs p left join counted c on c.id = p.id

@@ -237,7 +237,7 @@ SQL = {
         select doc_id, 'word', length(regexp_replace(text, '[^\p{{L}}\p{{N}}]', '', 'g'))
         from documents union all
         select doc_id, 'piece', length(regexp_replace(text, '{BLANK}', '', 'g')) from documents""",
-    "max_encoded_len": f"""with {SQL_PAIRS} select max(len({sql_tokens('context')})
+    "max_encoded_len": f"""with {SQL_PAIRS} select max(4 + len({sql_tokens('context')})
         + len({sql_tokens('question')})) as max_tokens from pairs""",
     "bracket_repair": f"""with toks as (select page_id, {sql_tokens('html')} as words from pages),
         one as (select page_id, generate_subscripts(words, 1) - 1 as pos, unnest(words) as t from toks)

@@ -27,6 +27,10 @@ BLANKS = "\\t\\r\\n\\u00a0\\u200b"
 # --------------------------------------------------------------------------------------------
 
 
+# fixed values: the characters that count as blank at the ends of a text
+_UNICODE_BLANK = "[\\x09-\\x0D\\x1C-\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
+
+
 def _strip_markup(text: Column, ui_words: Sequence[str], entities: Sequence[str]) -> Column:
     for tag in BLOCK_TAGS:
         text = F.regexp_replace(text, f"(?is)<{tag}.*?>.*?</{tag}>", "")
@@ -93,12 +97,18 @@ def clean_context(text: Column, variant: str = "wiki", legacy: bool = False) ->
         raise ValueError(f"unknown cleaning variant: {variant}")
     if variant == "byline":
         body = drop_byline(body)
-    return F.trim(cut_to_last_stop(body, legacy))
+    return strip(cut_to_last_stop(body, legacy))
+
+
+def strip(text: Column, side: str = "both") -> Column:
+    """Remove all Unicode blanks at the ends, not only spaces."""
+    bare = F.regexp_replace(text, f"^{_UNICODE_BLANK}+", "")
+    return bare if side == "left" else F.regexp_replace(bare, f"{_UNICODE_BLANK}+$", "")
 
 
 def rebased_start(context: Column, start: Column) -> Column:
     """Answer offset in the cleaned context: length of the cleaned text that stood before it."""
-    return F.length(F.ltrim(clean_answer(F.substring(context, F.lit(1), start))))
+    return F.length(strip(clean_answer(F.substring(context, F.lit(1), start)), "left"))
 
 
 def balance_brackets(text: Column) -> Column:

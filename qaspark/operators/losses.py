@@ -14,10 +14,12 @@ def inbatch_nll(scores: DataFrame, by: tuple[str, str] = ("batch", "row")) -> Da
     """
     batch, row = by
     own = F.max(F.when(F.col(row) == F.col("col"), F.col("score")))
-    lines = scores.groupBy(batch, row).agg(
-        F.collect_list("score").alias("scores"), own.alias("own")
+    tops = scores.groupBy(batch, row).agg(F.max("score").alias("top"), own.alias("own"))
+    shifted = F.sum(F.exp(F.col("score") - F.col("top"))).alias("total")
+    lines = scores.join(tops, [batch, row]).groupBy(batch, row, "top", "own").agg(shifted)
+    return lines.groupBy(batch).agg(
+        F.avg(F.col("top") + F.ln("total") - F.col("own")).alias("loss")
     )
-    return lines.groupBy(batch).agg(F.avg(log_sum_exp(F.col("scores")) - F.col("own")).alias("loss"))
 
 
 def list_loss(scores: DataFrame, key: str = "qid") -> DataFrame:
@@ -26,16 +28,21 @@ def list_loss(scores: DataFrame, key: str = "qid") -> DataFrame:
     ``scores`` is (key, label, score) with one label 1; computed shifted by the largest score.
     """
     tiny = 1e-9
-    top, total = F.array_max("scores"), F.lit(0.0)
-    lines = scores.groupBy(key).agg(
-        F.collect_list("score").alias("scores"),
+    tops = scores.groupBy(key).agg(
+        F.max("score").alias("top"),
         F.max(F.when(F.col("label") == 1, F.col("score"))).alias("gold"),
-    ).withColumn("top", top)
-    shifted = F.aggregate("scores", total, lambda acc, x: acc + F.exp(x - F.col("top")))
-    log_total = F.col("top") + F.ln(shifted + F.lit(tiny) * F.exp(-F.col("top")))
+    )
+    shifted = F.sum(F.exp(F.col("score") - F.col("top"))).alias("total")
+    lines = scores.join(tops, key).groupBy(key, "top", "gold").agg(shifted)
+    log_total = F.col("top") + F.ln(F.col("total") + F.lit(tiny) * F.exp(-F.col("top")))
     return lines.select(key, (log_total - F.col("gold") + tiny).alias("loss"))
 
 
+def mean_list_loss(scores: DataFrame, key: str = "qid") -> DataFrame:
+    """One row: the mean of ``list_loss`` over all lists."""
+    return list_loss(scores, key).agg(F.avg("loss").alias("loss"))
+
+
 def reader_loss(logits: DataFrame) -> DataFrame:
     """One row: mean cross-entropy of start and end, and their mean.
 

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from qaspark.functions.text import clean_answer, clean_context, rebased_start
+from qaspark.functions.text import clean_answer, clean_context, rebased_start, strip
 from qaspark.functions.tokens import SCHEMES, Scheme, tokenize
 from qaspark.plans.order import row_index
 
@@ -23,7 +23,7 @@ def clean_qa(
     return df.withColumns(
         {
             context: clean_context(F.col(context), variant, legacy),
-            answer: F.trim(clean_answer(F.col(answer))),
+            answer: strip(clean_answer(F.col(answer))),
             start: rebased_start(F.col(context), F.col(start)),
         }
     )
@@ -120,5 +120,9 @@ def encoded_length(columns: Sequence[str], scheme: Scheme = "space", specials: i
     return sum((F.size(tokenize(F.col(c), scheme)) for c in columns), F.lit(specials))
 
 
-def max_encoded_len(df: DataFrame, columns: Sequence[str], scheme: Scheme = "space") -> DataFrame:
-    return df.agg(F.max(encoded_length(columns, scheme)).alias("max_tokens"))
+def max_encoded_len(
+    df: DataFrame, columns: Sequence[str], scheme: Scheme = "space", specials: int | None = None
+) -> DataFrame:
+    """Longest encoding. Each column is encoded by itself, with two special tokens of its own."""
+    extra = 2 * len(columns) if specials is None else specials
+    return df.agg(F.max(encoded_length(columns, scheme, extra)).alias("max_tokens"))

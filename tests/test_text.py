@@ -51,12 +51,18 @@ def test_strip_particle(spark):
     assert one(spark, "서울", lambda c: tx.strip_particle(c, ["이는"])) == "서울"
 
 
+def test_strip_takes_all_unicode_blanks(spark):
+    blank = "\u3000\u00a0\x0b \n"
+    assert one(spark, f"{blank}a{blank}b{blank}", tx.strip) == f"a{blank}b"
+    assert one(spark, f"{blank}a ", lambda c: tx.strip(c, "left")) == "a "
+
+
 def test_ids_and_tags(spark):
     assert one(spark, "x_12-3", tx.parse_doc_id) == 123
     assert one(spark, "t", lambda c: tx.title_tag(c, F.lit("body"))) == "@t:body"
     df = spark.createDataFrame([(3, n) for n in range(43)], "file_no int, n int")
-    ids = {r["n"]: r["id"] for r in prepare.assign_ids(df, "korquad", ["file_no", "n"]).collect()}
-    assert ids[42] == "korquad-03-000042" and len(set(ids.values())) == 43
+    ids = {r["n"]: r["id"] for r in prepare.assign_ids(df, "files", ["file_no", "n"]).collect()}
+    assert ids[42] == "files-03-000042" and len(set(ids.values())) == 43
 
 
 def test_unknown_variant():
