@@ -9,8 +9,11 @@ from qaspark.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4"})
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = build_session(
+        "tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": shared}
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
