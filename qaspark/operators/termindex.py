@@ -109,24 +109,47 @@ def _as_arrays(rows: pd.DataFrame, terms: Sequence[str]) -> tuple[np.ndarray, ..
     return qids, bounds, numbers, rows["qweight"].to_numpy(dtype=np.float64)
 
 
+_PASS = 1 << 21  # matched postings added up at a time
+
+
 def _score_batch(best: BestK, asked: tuple[np.ndarray, ...], docs, of_doc, term_ids, weights) -> None:
-    """Offer every document of the batch to the questions it shares a term with."""
+    """Offer every document of the batch to the questions it shares a term with.
+
+    The cost follows the postings that match: they are listed by question term, sorted by question
+    and document, and added up run by run. A question without matches costs nothing.
+    """
     qids, bounds, terms, factors = asked
     order = np.argsort(term_ids, kind="stable")
     of_doc, weights, term_ids = of_doc[order], weights[order], term_ids[order]
     begin = np.searchsorted(term_ids, terms, "left")
-    end = np.searchsorted(term_ids, terms, "right")
-    scores, shared = np.zeros(len(docs)), np.zeros(len(docs), dtype=bool)
-    for question in range(len(qids)):
-        scores[:], shared[:] = 0.0, False
-        for at in range(bounds[question], bounds[question + 1]):
-            found = slice(begin[at], end[at])
-            rows = of_doc[found]  # a document lists a term once
-            scores[rows] += factors[at] * weights[found]
-            shared[rows] = True
-        some = np.flatnonzero(shared)
-        if len(some):
-            best.offer(question, -np.round(scores[some], SCORE_DIGITS), docs[some])
+    counts = np.searchsorted(term_ids, terms, "right") - begin
+    question = np.repeat(np.arange(len(qids)), np.diff(bounds))
+    asking = np.flatnonzero(counts)
+    done = np.cumsum(counts[asking])
+    at = 0
+    while at < len(asking):
+        # whole questions, at least one, up to about _PASS postings
+        stop = int(np.searchsorted(done, (done[at - 1] if at else 0) + _PASS, "right"))
+        last = question[asking[min(max(stop, at + 1), len(asking)) - 1]]
+        if stop < len(asking) and question[asking[stop]] == last and question[asking[at]] != last:
+            last -= 1
+        stop = int(np.searchsorted(question[asking], last, "right"))
+        own = asking[at:stop]
+        at = stop
+        size = counts[own]
+        postings = np.arange(int(size.sum())) + np.repeat(begin[own] - np.cumsum(size) + size, size)
+        pair = np.repeat(question[own], size) * len(docs) + of_doc[postings]
+        gain = np.repeat(factors[own], size) * weights[postings]
+        order = np.argsort(pair, kind="stable")
+        pair, gain = pair[order], gain[order]
+        first = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
+        scores = -np.round(np.add.reduceat(gain, first), SCORE_DIGITS)
+        pair = pair[first]
+        cuts = np.flatnonzero(np.diff(pair // len(docs), prepend=-1))
+        for one, costs, found in zip(
+            (pair[cuts] // len(docs)).tolist(), np.split(scores, cuts[1:]), np.split(pair % len(docs), cuts[1:])
+        ):
+            best.offer(one, costs, docs[found])
 
 
 Weigh = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
