@@ -324,3 +324,33 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.sha2(F.concat_ws(",", F.col("hits")["items"]), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
     )
+
+
+OP3_SQL = r"""
+with d as materialized (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+items as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark),
+sized as (select *, least(10, len(w)) as m from items where len(w) > 0),
+wanted as materialized (
+  select distinct item_id, m, array_to_string(w[i:i + m - 1], ' ') as words
+  from (select *, unnest(range(1, len(w) - m + 2)) as i from sized)),
+windows as (
+  select r, m, i, array_to_string(w[i:i + m - 1], ' ') as words
+  from (select r, m, w, unnest(range(1, len(w) - m + 2)) as i from d cross join (select distinct m from wanted))),
+hits as materialized (select r, m, i, item_id from windows join wanted using (m, words)),
+hit_words as (
+  select r, count(distinct p) as n from (select r, unnest(range(i, i + m)) as p from hits) group by r),
+hit_items as (
+  select r, count(*) as n, string_agg(name, ',' order by name) as names
+  from (select distinct r, cast(item_id as varchar) as name from hits) group by r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(h.n, 0) as bigint) as n_hit,
+       cast(coalesce(t.n, 0) as bigint) as n_items, sha256(coalesce(names, '')) as items_sha256,
+       coalesce(h.n, 0) > 0 as contaminated
+from d left join hit_words h using (r) left join hit_items t using (r)
+"""

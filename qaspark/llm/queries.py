@@ -18,6 +18,8 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op1_suffix_dedup": suffix.OP1_SQL,
+    "op3_benchmark_decontamination": decontaminate.OP3_SQL,
     "op4_license_scan": licenses.op4_license_scan,
     "op5_line_dedup": lines.OP5_SQL,
 }
