@@ -13,8 +13,8 @@ one segment, the bytes its windows cover. Buckets are settled in three steps:
    the longest common prefixes, and from previous and next smaller positions in suffix order the
    longest previous factor of each start: the longest match with something earlier. Read backwards,
    the same array gives the longest match with something later.
-3. A bucket with more than ``GROUP`` segments is dealt again by the windows themselves: equal windows
-   are counted by a 128-bit hash, with partial sums, so its size does not matter.
+3. A bucket with more than ``GROUP`` segments is cut into parts of about that many. The parts count
+   their windows by a 128-bit hash, and the counts are added up over the parts.
 
 What repeats goes back to its documents as spans; the texts are moved once, to meet them.
 
@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from qaspark.llm.bloom import Bits, filter_bits, seen_twice
@@ -372,7 +373,7 @@ def repeated_spans(
         .sortWithinPartitions("bucket")
         .mapInArrow(_settle(length, keep), "bucket long, digest long, starts array<long>, stops array<long>")
     )
-    settled = settled.unionByName(_by_window(contents.filter(F.col("kinds") > group), length, keep))
+    settled = settled.unionByName(_by_window(contents.filter(F.col("kinds") > group), length, keep, group))
     spans = F.arrays_zip("starts", "stops")
     settled = settled.select("bucket", "digest", spans.alias("spans"))
 
@@ -393,34 +394,92 @@ def repeated_spans(
     )
 
 
-def _by_window(contents: DataFrame, length: int, keep: str) -> DataFrame:
-    """Settles large buckets by counting their windows; a window is one row, and equal ones add up."""
+def _window_hashes(contents: pa.ChunkedArray, hashers, length: int):
+    """(row, place in it, two hashes) of every window of the contents."""
+    rows, at, one, two = ([np.empty(0, t)] for t in (np.int64, np.int64, np.uint64, np.uint64))
+    for n, content in enumerate(contents):
+        raw = np.frombuffer(content.as_buffer(), np.uint8)
+        start = np.arange(len(raw) - length + 1)
+        rows.append(np.full(len(start), n))
+        at.append(start)
+        one.append(hashers[0](raw, start, start + length))
+        two.append(hashers[1](raw, start, start + length))
+    return tuple(np.concatenate(x) for x in (rows, at, one, two))
 
-    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashers = SpanHash(seed=44), SpanHash(seed=45)
-        for batch in batches:
-            for row in batch.select(["bucket", "digest", "content"]).to_pylist():
-                content = np.frombuffer(row["content"], np.uint8)
-                start = np.arange(len(content) - length + 1)
-                one, two = (h(content, start, start + length).view(np.int64) for h in hashers)
-                same = [np.full(len(start), row[n]) for n in ("bucket", "digest")]
-                yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, same), pa.array(start), pa.array(one), pa.array(two)], ["bucket", "digest", "at_window", "h1", "h2"]
-                )
 
-    rows = store(contents.mapInArrow(expand, "bucket long, digest long, at_window long, h1 long, h2 long"), "windows")
-    ranked = rows.join(contents.select("bucket", "digest", "at"), ["bucket", "digest"]).select(
-        "bucket", "digest", "at_window", "h1", "h2",
-        F.struct("at.id", "at.k1", "at.k2", (F.col("at.start") + F.col("at_window")).alias("place")).alias("stand"),
-    )
-    ranked = store(ranked, "windows")
-    groups = ranked.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("stand").alias("first"))
-    groups = store(groups.filter("n > 1"), "window_groups")
-    hits = join_counted(ranked, groups, ["h1", "h2"], "n", ranked.count())
-    if keep == "first":
-        hits = hits.filter(~F.col("stand").eqNullSafe(F.col("first")))
-    return hits.groupBy("bucket", "digest").agg(F.sort_array(F.collect_list("at_window")).alias("starts")).select(
-        "bucket", "digest", "starts", F.transform("starts", lambda s: s + 1).alias("stops")
+def _by_window(contents: DataFrame, length: int, keep: str, group: int) -> DataFrame:
+    """Settles large buckets by counting their windows, in parts of about ``group`` segments.
+
+    A part asks for each distinct window it has, if the Bloom filter has seen that twice; the counts are
+    added up over the parts, and every part gets the totals of what it asked for.
+    """
+    seeds = (44, 45)
+    dealt = contents.withColumn("part", F.pmod("digest", F.ceil(F.col("kinds") / group)))
+    dealt = store(dealt.select("bucket", "part", "digest", "content", "at.id", "at.k1", "at.k2", "at.start"), "parts")
+    if not dealt.take(1):
+        none = "bucket long, digest long, starts array<long>, stops array<long>"
+        return dealt.sparkSession.createDataFrame([], none)
+
+    def keys():
+        hasher = SpanHash(seed=seeds[0])
+
+        def run(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+            yield _window_hashes(batch.column(0), (hasher, hasher), length)[2]
+
+        return run
+
+    size = dealt.agg(F.sum(F.octet_length("content") - length + 1)).first()[0]
+    bits = filter_bits(size)
+    shared = dealt.sparkSession.sparkContext.broadcast(seen_twice(dealt.select("content"), keys, bits))
+
+    def ask(table: pa.Table) -> pa.Table:
+        names = ["id", "k1", "k2", "start"]
+        order = pc.sort_indices(table, [(n, "ascending") for n in names], null_placement="at_start")
+        table = table.take(order)  # earlier places first
+        row, at, one, two = _window_hashes(table["content"], [SpanHash(seed=s) for s in seeds], length)
+        may = Bits(bits, shared.value).has(one)
+        row, at, one, two = (x[may] for x in (row, at, one, two))
+        _, first, counts = np.unique(one, return_index=True, return_counts=True)
+        own = table.take(pa.array(row[first]))
+        place = own["start"].to_numpy() + at[first]
+        columns = {n: own[n] for n in ("bucket", "part", "id", "k1", "k2")}
+        hashes = {"h1": one[first].view(np.int64), "h2": two[first].view(np.int64), "n": counts, "place": place}
+        return pa.table(columns | {n: pa.array(x) for n, x in hashes.items()})
+
+    kind = dealt.schema["id"].dataType.simpleString()
+    cell = ["bucket", "part"]
+    asked = store(
+        dealt.groupBy(*cell).applyInArrow(
+            ask, f"bucket long, part long, id {kind}, k1 long, k2 long, h1 long, h2 long, n long, place long"
+        ),
+        "asked",
+    )
+    totals = asked.groupBy("h1", "h2").agg(
+        F.sum("n").alias("n"), F.min(F.struct("id", "k1", "k2", "place")).alias("first")
+    )
+    answers = asked.select(*cell, "h1", "h2").join(totals.filter("n > 1"), ["h1", "h2"])
+    answers = answers.select(*cell, "h1", "h2", "first.k1", "first.k2", "first.place")
+
+    def mark(table: pa.Table, known: pa.Table) -> pa.Table:
+        row, at, one, two = _window_hashes(table["content"], [SpanHash(seed=s) for s in seeds], length)
+        hit = np.zeros(len(row), bool)
+        if len(known):
+            h1, h2, k1, k2, place = (known[n].to_numpy() for n in ("h1", "h2", "k1", "k2", "place"))
+            order = np.argsort(h1)
+            found = order[np.minimum(np.searchsorted(h1, one.view(np.int64), sorter=order), len(order) - 1)]
+            hit = (h1[found] == one.view(np.int64)) & (h2[found] == two.view(np.int64))
+            if keep == "first":
+                own = [table[n].to_numpy()[row] for n in ("k1", "k2", "start")]
+                hit &= (own[0] != k1[found]) | (own[1] != k2[found]) | (own[2] + at != place[found])
+        bounds = np.searchsorted(row, np.arange(len(table) + 1))
+        spans = [runs(hit[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+        lists = [pa.array([x[n].tolist() for x in spans], pa.list_(pa.int64())) for n in (0, 1)]
+        return pa.table({"bucket": table["bucket"], "digest": table["digest"], "starts": lists[0], "stops": lists[1]})
+
+    return (
+        dealt.groupBy(*cell)
+        .cogroup(answers.groupBy(*cell))
+        .applyInArrow(mark, "bucket long, digest long, starts array<long>, stops array<long>")
     )
 
 
@@ -467,3 +526,28 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs, keep="none").select(
         "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+# two hexadecimal digits a byte; a span ends where no window starts within the next 200 bytes
+OP1_SQL = """
+with b as materialized (
+  select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as materialized (
+  select r, i, md5(substr(h, 2 * i + 1, 400)) as k
+  from (select r, h, unnest(range(0, length(h) // 2 - 199)) as i from b)),
+hits as (select r, i from w where k in (select k from w group by k having count(*) > 1)),
+marked as (select r, i, coalesce(i > lag(i) over (partition by r order by i) + 200, true) as new from hits),
+numbered as (select r, i, sum(case when new then 1 else 0 end) over (partition by r order by i) as s from marked),
+spans as materialized (select r, s, min(i) as a, max(i) + 200 as e from numbered group by r, s),
+gaps as (
+  select r, s, substr(h, 2 * coalesce(lag(e) over (partition by r order by s), 0) + 1,
+                      2 * (a - coalesce(lag(e) over (partition by r order by s), 0))) as g, a, e
+  from spans join b using (r)),
+kept as (
+  select r, count(*) as n, sum(e - a) as gone, max(e) as last, string_agg(g, '' order by s) as head
+  from gaps group by r)
+select doc_id, cast(length(h) // 2 as bigint) as n_bytes, cast(coalesce(gone, 0) as bigint) as n_removed,
+       cast(coalesce(n, 0) as bigint) as n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from b left join kept using (r)
+"""
