@@ -289,25 +289,28 @@ def remove_spans(
     Documents of which more than ``max_coverage`` of the words are hit are dropped whole. Other
     columns stay as they are.
     """
-    found = find_hits(docs, items, text=text, to="_hits", **settings)
-    words = F.col("_hits")["n_words"]
-    kept = found.filter((words == 0) | (n_hit("_hits") <= max_coverage * words))
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    found = find_hits(rows, items, text="text", to="hits", **settings)
+    words = F.col("hits")["n_words"]
+    kept = found.filter((words == 0) | (n_hit() <= max_coverage * words))
+    long = F.filter(F.col("hits")["spans"], lambda s: s["last"] - s["first"] + 1 >= min_words)
 
     @F.arrow_udf("string")
-    def cut(texts: pa.Array, hits: pa.Array) -> pa.Array:
+    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
-        for one, hit in zip(texts.to_pylist(), hits.to_pylist(), strict=True):
-            spans = [s for s in hit["spans"] if s["last"] - s["first"] + 1 >= min_words]
-            if spans:
-                raw, at, rest = one.encode(), 0, []
-                for span in spans:
+        for one, listed in zip(texts, spans, strict=True):
+            listed = listed.as_py()
+            if listed:
+                raw, at, rest = one.as_buffer().to_pybytes(), 0, []
+                for span in listed:
                     rest.append(raw[at : span["start"]])
                     at = span["end"]
-                one = b"".join([*rest, raw[at:]]).decode()
-            out.append(one)
+                out.append(b"".join([*rest, raw[at:]]).decode())
+            else:
+                out.append(one.as_py())
         return pa.array(out, pa.string())
 
-    return kept.withColumn(text, cut(F.col(text), F.col("_hits"))).select(*docs.columns)
+    return kept.select(F.col("row").withField(text, cut(F.col("text"), long)).alias("row")).select("row.*")
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 512 << 10
 
 
 def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -115,7 +115,7 @@ def pattern_counts(sample: DataFrame) -> DataFrame:
         hasher = _hasher()
         for batch in batches:
             y, at = batch.column(1).to_numpy(zero_copy_only=False), 0
-            for block in blocks(batch.column(0), 2 << 20):
+            for block in blocks(batch.column(0)):
                 content, offsets = flat_bytes(block)
                 _, _, owner, hashes = _spans(content, offsets, hasher)
                 pattern, text = np.concatenate(hashes), np.tile(owner, len(hashes))
@@ -242,7 +242,10 @@ def score(docs: DataFrame, grammar: Grammar, text: str = "text", to: str = "scor
 
 
 def fit_on(docs: DataFrame, labels: DataFrame) -> Grammar:
-    return fit(training_sample(docs, labels, "toxic", 3, 1).cache())
+    sample = training_sample(docs, labels, "toxic", 3, 1).cache()
+    grammar = fit(sample)
+    sample.unpersist()
+    return grammar
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
