@@ -40,10 +40,14 @@ def cut_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, with the text that decoding them gives back."""
     ranks = bpe.read_ranks(RANKS)
-    coded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
-    return coded.withColumns(
-        {"text": F.col("decoded").cast("string"), "n_tokens": F.size("ids").cast("long")}
-    ).drop("decoded")
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
+    coded = bpe.encode_and_decode(rows, ranks, public_tokenizers.PATTERN)
+    decoded = F.col("coded.decoded").cast("string")
+    return coded.select(
+        F.col("row").withField("text", decoded).alias("row"),
+        F.size("coded.ids").cast("long").alias("n_tokens"),
+        F.col("coded.ids").alias("ids"),
+    ).select("row.*", "n_tokens", "ids")
 
 
 STAGES = [
