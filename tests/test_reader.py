@@ -1,8 +1,13 @@
+import itertools
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from qaspark.checks import reader as checks
 from qaspark.operators import chunks as ch, decode, ensemble as vote, losses, metrics
 
+FOLDER = "/root/testdata/sf0.001"
 OFFSETS = "array<struct<s:int,e:int>>"
 
 
@@ -211,3 +216,26 @@ def test_ensemble(spark):
     assert mean == {"z": 0.9, "y": 0.26, "x": 0.235}
     with pytest.raises(ValueError):
         vote.ensemble(rows, "other")
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not there")
+def test_runs_hold_every_answer_of_up_to_thirty_tokens(spark):
+    features = checks.with_logits(ch.with_feature_offsets(checks.labelled(spark, FOLDER)), "70")
+    contexts = {r["id"]: r["context"] for r in checks._examples(spark, FOLDER).collect()}
+    found = {key: [] for key in contexts}
+    for r in features.collect():
+        best = [sorted(range(len(r["offsets"])), key=lambda n: (-side[n], n))[:20] for side in (r["start_logits"], r["end_logits"])]
+        for (a, p), (b, q) in itertools.product(enumerate(best[0]), enumerate(best[1])):
+            if r["offsets"][p] and r["offsets"][q] and 0 <= q - p < 30:
+                score = r["start_logits"][p] + r["end_logits"][q]
+                found[r["id"]].append((-score, r["chunk_no"], a, b, contexts[r["id"]][r["offsets"][p]["s"] : r["offsets"][q]["e"]]))
+    expected = {(key, n, one[4]) for key, spans in found.items() for n, one in enumerate(sorted(spans)[:20], 1)}
+    got = checks.nbest_scan(spark, FOLDER).filter("model = '70' and text <> 'empty'").select("id", "rank", "text").collect()
+    assert set(map(tuple, got)) == expected
+    assert max(len(text.split()) for _, _, text in expected) > 4
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not there")
+def test_narrow_limits_provoke_the_fallback(spark):
+    empty = checks.empty_fallback(spark, FOLDER).filter("prediction_text = 'empty'").count()
+    assert 0 < empty < len(checks._examples(spark, FOLDER).collect())
