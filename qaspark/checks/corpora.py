@@ -74,21 +74,17 @@ def qa_json_roundtrip(spark, folder):
 
 
 def longdoc_scan(spark, folder):
+    """Whole pages as long documents; the context comes back as a digest, so every character counts."""
     pages = table(spark, folder, "pages")
-    asked = table(spark, folder, "conversations").filter("turn = 0").select(
-        F.col("conv_id").alias("page_id"), F.col("text").alias("question")
-    )
     answer = F.struct(F.col("url").alias("text"), F.lit(0).alias("answer_start"))
-    one = F.struct(F.col("page_id").cast("string").alias("id"), "question", answer.alias("answer"))
+    one = F.struct(F.col("page_id").cast("string").alias("id"), F.col("url").alias("question"), answer.alias("answer"))
     other = F.struct(F.lit("-").alias("id"), F.lit("-").alias("question"), answer.alias("answer"))
     doc = F.struct(
         "page_id", F.col("url").alias("title"), F.col("html").alias("context"),
         F.array(one, other).alias("qas"),
     )
     files = (
-        pages.join(asked, "page_id", "left")
-        .fillna("", ["question"])
-        .withColumn("file_no", F.floor(F.col("page_id") / FILE_ROWS))
+        pages.withColumn("file_no", F.floor(F.col("page_id") / FILE_ROWS))
         .groupBy("file_no")
         .agg(F.sort_array(F.collect_list(doc)).alias("docs"))
         .withColumn("data", F.transform("docs", lambda d: d.dropFields("page_id")))
@@ -99,7 +95,7 @@ def longdoc_scan(spark, folder):
     return rows.select(
         F.col("file_no").cast("long").alias("file_no"),
         F.col("doc_no").cast("long").alias("doc_no"),
-        "title", "question_id", "question", "answer_text", F.length("context").cast("long").alias("n"),
+        "title", "question_id", "question", "answer_text", F.md5("context").alias("context_md5"),
     )
 
 
@@ -133,12 +129,18 @@ def shard_assign(spark, folder):
     return writers.with_shards(docs, ["title", "doc_id"], 64)
 
 
-def csv_roundtrip(spark, folder):
+def csv_texts(spark, folder):
+    """Raw texts, written and read again."""
     path = scratch_path(spark, "csv")
-    texts = corpus(spark, folder).select("doc_id", clean_context(F.col("text")).alias("text"))
+    texts = corpus(spark, folder).select("doc_id", "text")
     writers.write_csv(texts, path)
-    back = spark.read.csv(path, header=True, schema=texts.schema, quote='"', escape='"')
-    return back.fillna("", ["text"])
+    return readers.read_csv(spark, path, texts.schema)
+
+
+def csv_roundtrip(spark, folder):
+    """The texts go through the file as they are; they are cleaned after reading, as the SQL has it."""
+    cleaned = csv_texts(spark, folder).select("doc_id", clean_context(F.col("text")).alias("text"))
+    return cleaned.fillna("", ["text"])
 
 
 def corpus_dedup(spark, folder):

@@ -62,6 +62,13 @@ def read_split(spark: SparkSession, path: str, split: str | None = None) -> Data
     return rows if split is None else rows.filter(F.col("split") == split)
 
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """CSV as ``write_csv`` leaves it; a value may hold line breaks and quotes over several lines."""
+    return spark.read.csv(
+        path, header=True, schema=schema, quote='"', escape='"', multiLine=True, lineSep="\n"
+    )
+
+
 def read_qa_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Flat QA rows; ``multi_line`` for files that hold one JSON array."""
     return spark.read.schema(QA).json(path, multiLine=multi_line)

@@ -31,8 +31,11 @@ def write_shards(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
-    """CSV with a header and no index column; quotes inside values are doubled."""
-    df.write.mode(mode).csv(path, header=True, quote='"', escape='"', emptyValue='""')
+    """CSV with a header and no index column; quotes inside values are doubled, blanks at their ends stay."""
+    df.write.mode(mode).csv(
+        path, header=True, quote='"', escape='"', emptyValue='""', quoteAll=True,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
 
 
 def _named(folder: str, stem: str, prefix: str | None) -> str:

@@ -1,12 +1,17 @@
+import hashlib
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from qaspark.checks import corpora
 from qaspark.operators import decode
 from qaspark.sources import readers, writers
 from qaspark.sources.index_store import IndexStore, fingerprint
 
+FOLDER = "/root/testdata/sf0.001"
+
 
 def dump(path, value):
     path.write_text(json.dumps(value, ensure_ascii=False), encoding="utf-8")
@@ -80,6 +85,28 @@ def test_csv(spark, tmp_path):
     assert {(r["k"], r["t"] or "") for r in back.collect()} == {(1, 'a "b", c'), (2, "")}
 
 
+def test_csv_keeps_raw_texts(spark, tmp_path):
+    texts = ["one\ntwo", 'a "b\nc" d', '"', "\n", " blank ends ", "back\\slash", 'x\\"y', "a,b", "r\r\nn", "r\rr", "\ttab\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    writers.write_csv(df, str(tmp_path / "csv"))
+    back = readers.read_csv(spark, str(tmp_path / "csv"), df.schema)
+    assert sorted(map(tuple, back.collect())) == list(enumerate(texts))
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not there")
+def test_csv_query_writes_whole_texts(spark):
+    given = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
+    assert any("\n" in r.text for r in given)
+    assert sorted(corpora.csv_texts(spark, FOLDER).collect()) == sorted(given)
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not there")
+def test_long_document_query_gives_whole_pages(spark):
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet").collect()
+    got = {r.question_id: (r.title, r.question, r.answer_text, r.context_md5) for r in corpora.longdoc_scan(spark, FOLDER).collect()}
+    assert got == {str(p.page_id): (p.url, p.url, p.url, hashlib.md5(p.html.encode()).hexdigest()) for p in pages}
+
+
 def test_nbest_weights_come_from_file_names(spark, tmp_path, rows):
     entry = {"text": "x", "start_logit": 1.0, "end_logit": 2.0, "probability": 0.5}
     dump(tmp_path / "70.json", {"q": [entry, {**entry, "text": "y"}]})
