@@ -3,7 +3,9 @@
 A vector is represented by its nearest pivots in order. It is posted in the inverted files of its first
 ``POSTED`` pivots; a query opens the files of the nearest ``OPENED`` share of all pivots, ranks what it
 finds by the footrule distance of the two orders (a pivot that an order lacks stands behind its last
-place), and measures the best ``MEASURED`` share of each file exactly. Every posting carries its whole
+place), and measures the best ``MEASURED`` share of each file exactly. Where the files of that share hold too
+few vectors, a query opens the next ones: entries are counted at their nearest pivot only, so each counts
+once, until there are ``k + 1`` of them or all files are open. Every posting carries its whole
 order, so a file is ranked where it lies and only the nearest of each file leave the task. The shares
 suit vectors without any clusters, the hardest case; where there are clusters, less will do.
 
@@ -124,14 +126,26 @@ def search(
             found = orders(np.asarray(batch.flatten()).reshape(len(batch), -1), shared.value, order)
             yield pa.array(list(found), pa.list_(pa.int16()))
 
-    def filed(given: DataFrame, files: int) -> DataFrame:
-        placed = given.withColumn("order", F.arrow_udf(assign, "array<smallint>")(F.col("vector")))
-        return placed.withColumn("pivot", F.explode(F.slice("order", 1, files)))
+    placed = entries.select("entry", "vector", "ids", F.arrow_udf(assign, "array<smallint>")(F.col("vector")).alias("order"))
+    postings = store(placed.withColumn("pivot", F.explode(F.slice("order", 1, posted))), "postings")
+    # entries by their nearest pivot, one row per pivot: a lower bound of what a set of files holds
+    held = np.zeros(len(pivots), np.int64)
+    for row in postings.filter(F.col("pivot") == F.get("order", F.lit(0))).groupBy("pivot").count().collect():
+        held[row["pivot"]] = row["count"]
+    least = max(1, round(opened * len(pivots)))
 
-    postings = store(filed(entries.select("entry", "vector", "ids"), posted), "postings")
+    def probe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            found = orders(np.asarray(batch.flatten()).reshape(len(batch), -1), shared.value, len(shared.value))
+            enough = (np.cumsum(held[found], axis=1) < k + 1).sum(axis=1) + 1  # beyond the last: all
+            files = [row[: max(least, int(n))] for row, n in zip(found, enough)]
+            lists = pa.array(list(found[:, :order]), pa.list_(pa.int16())), pa.array(files, pa.list_(pa.int16()))
+            yield pa.StructArray.from_arrays(lists, names=["order", "files"])
+
+    seen = asked.withColumn("seen", F.arrow_udf(probe, "order array<smallint>, files array<smallint>")(F.col("vector")))
+    probes = store(seen.select("entry", "vector", "seen.order", F.explode("seen.files").alias("pivot")), "probes")
     # the parts of a file and the blocks of its queries: one row per pivot, of a bounded number
     sizes = postings.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / file).cast("int").alias("parts"))
-    probes = store(filed(asked, max(1, round(opened * len(pivots)))), "probes")
     widths = probes.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / file).cast("int").alias("blocks"))
     shape = F.broadcast(sizes.join(widths, "pivot"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))

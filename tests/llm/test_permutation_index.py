@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from qaspark.llm import permutation_index as pi
 
@@ -47,6 +48,33 @@ def test_whole_when_all_files_are_opened(spark):
     assert pi.search(table.limit(0), queries.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("count", [1, 2, 5, 8, 11, 12, 13, 20, 30])
+def test_default_shares_find_k_on_small_tables(spark, count):
+    rng = np.random.default_rng(count)
+    rows = [(n, [float(x) for x in row]) for n, row in enumerate(rng.normal(size=(count, 16)))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    expected = brute(rows, rows, count)
+    got = {}
+    for r in sorted(pi.search(table, table).collect(), key=lambda r: (r.query_id, r["rank"])):
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    for query, near in expected.items():
+        found = got.get(query, [])
+        assert len(found) == min(10, count - 1)
+        assert [score for _, _, score in found] == sorted(score for _, _, score in found)
+        assert {n[1:] for n in found} <= {n[1:] for n in near}
+        if count <= 11:
+            assert found == near
+
+
+def test_nearly_equal_vectors_are_found_too(spark):
+    rows = [(n, [1.0 + n * 1e-15, 1.0]) for n in range(6)] + [(n, [float(n), 2.0]) for n in range(6, 14)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = pi.search(table, table).groupBy("query_id").count().collect()
+    assert [r["count"] for r in got] == [10] * 14
+    few = pi.search(table, table, pivot_bounds=(3, 3)).groupBy("query_id").count().collect()
+    assert [r["count"] for r in few] == [10] * 14
+
+
 def test_recall(spark):
     rows = spark.read.parquet(f"{FOLDER}/embeddings.parquet").select("vec_id", "embedding")
     exact = pi.exact_search(rows, rows.filter("vec_id % 100 = 0"), 10).cache()
