@@ -5,9 +5,13 @@ For every length a template has, a text is read in windows of that many words, e
 length after the one before. A window's signature of ``BANDS * ROWS`` minima looks up the templates that
 agree in a whole band. The window that fits a passage best misses at most a sixteenth of it at either
 end, so a passage that holds the share ``CONTAINED`` of a template's shingles has a similarity of 0.6 to
-it at least, and is retrieved with a probability of 1 - (1 - 0.6 ** 2) ** 24 > 0.9999. Retrieved
-templates are then checked exactly: the share of their shingles found in the window and one step around
-it. Windows without any shingle of any template cannot match and get no signature.
+it at least, and is retrieved with a probability of 1 - (1 - 0.6 ** 2) ** 24 > 0.9999. Templates of less
+than 16 words have too few shingles for bands and are all looked at. Retrieved templates are then checked
+exactly: the share of their shingles found in the window and one step around it. Windows that no shingle of
+a template of their length is near cannot match and get no signature.
+
+Licenses that differ in a version or a word only (GPL 2 and 3, GPL and LGPL) are told apart by ``MARKS``:
+a match has to hold a shingle of each phrase that is listed for the template.
 
 The templates are a fixed list, so what is sent to the tasks does not grow; texts are not moved.
 
@@ -18,7 +22,8 @@ a template of fewer words than a shingle is refused; other columns are kept as a
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +71,81 @@ TEMPLATES = {
     "International License.",
     "CC-BY-NC-4.0 line": "Licensed under CC BY-NC 4.0.",
 }
+_MIT_AS_IS = (
+    " THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
+    "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+    "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+    "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+    "DEALINGS IN THE SOFTWARE."
+)
+_BSD_AS_IS = (
+    " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD_NAMES = (
+    " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission."
+)
+_GNU = (
+    "{0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} as published by "
+    "the Free Software Foundation, either version {2} of the License, or (at your option) any later version."
+)
+TEMPLATES |= {
+    "Apache-2.0 line (full)": "Licensed under the Apache License 2.0.",
+    "MIT line (licensed)": "Licensed under the MIT License.",
+    "MIT line (project)": "This project is licensed under the MIT License.",
+    "MIT whole": TEMPLATES["MIT"] + _MIT_AS_IS,
+    "ISC whole": TEMPLATES["ISC"] + " THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD "
+    "TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE "
+    "LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF "
+    "USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+    "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "BSD-2-Clause whole": TEMPLATES["BSD-2-Clause"] + _BSD_AS_IS,
+    "BSD-3-Clause": TEMPLATES["BSD-2-Clause"] + _BSD_NAMES,
+    "BSD-3-Clause whole": TEMPLATES["BSD-2-Clause"] + _BSD_NAMES + _BSD_AS_IS,
+    "GPL-2.0 line": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0": _GNU.format("This program", "General Public License", "2"),
+    "LGPL-2.1": _GNU.format("This library", "Lesser General Public License", "2.1"),
+    "LGPL-3.0": _GNU.format("This library", "Lesser General Public License", "3"),
+    "AGPL-3.0": _GNU.format("This program", "Affero General Public License", "3"),
+    "CC0-1.0 line": "This work is dedicated to the public domain under CC0 1.0 Universal.",
+    "Zlib": "This software is provided as-is, without any express or implied warranty. In no event will the authors be "
+    "held liable for any damages arising from the use of this software. Permission is granted to anyone to use this "
+    "software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject "
+    "to the following restrictions: The origin of this software must not be misrepresented; you must not claim that "
+    "you wrote the original software. If you use this software in a product, an acknowledgment in the product "
+    "documentation would be appreciated but is not required. Altered source versions must be plainly marked as such, "
+    "and must not be misrepresented as being the original software. This notice may not be removed or altered from any "
+    "source distribution.",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+    "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for "
+    "any purpose, commercial or non-commercial, and by any means.",
+}
+# whole license texts, as they are published
+TEXTS = {f"{p.stem} text": p.read_text(encoding="utf-8") for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+MARKS = {
+    "Apache-2.0 line": ["Apache License Version 2 0"],
+    "Apache-2.0 line (full)": ["the Apache License 2 0"],
+    "Apache-2.0": ["Apache License Version 2 0"],
+    "BSD-3-Clause": ["Neither the name of the copyright holder nor the names of its contributors"],
+    "BSD-3-Clause whole": ["nor the names of its contributors may be used to endorse or promote products"],
+    "GPL-2.0 line": ["General Public License version 2"],
+    "GPL-3.0 line": ["General Public License version 3"],
+    "GPL-2.0": ["the GNU General Public License", "version 2 of the License"],
+    "GPL-3.0": ["the GNU General Public License", "version 3 of the License"],
+    "LGPL-2.1": ["GNU Lesser General Public License", "version 2 1 of the License"],
+    "LGPL-3.0": ["GNU Lesser General Public License", "version 3 of the License"],
+    "AGPL-3.0": ["GNU Affero General Public License", "version 3 of the License"],
+    "GPL-2.0 text": ["GNU GENERAL PUBLIC LICENSE Version 2 June 1991"],
+    "GPL-3.0 text": ["LICENSE Version 3 29 June 2007"],
+    "LGPL-2.1 text": ["GNU LESSER GENERAL PUBLIC LICENSE Version 2 1"],
+    "LGPL-3.0 text": ["GNU LESSER GENERAL PUBLIC LICENSE"],
+}
 MATCHES = "array<struct<license:string,first:int,last:int,containment:double>>"
 
 
@@ -96,7 +176,7 @@ class Shingles:
 class Templates:
     """The templates' shingles, and the bands that retrieve them."""
 
-    def __init__(self, templates: Mapping[str, str], size: int, contained: float):
+    def __init__(self, templates: Mapping[str, str], size: int, contained: float, marks: Mapping[str, Sequence[str]] = {}):
         self.shingles, self.contained, self.size = Shingles(size), contained, size
         rng = np.random.default_rng(53)
         self.mix = rng.integers(1, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -114,22 +194,37 @@ class Templates:
             self.lengths.append(words)
             for band in self.signature(own):
                 self.bands[band].append(n)
+        self.marks = [[self._phrase(p) for p in marks.get(name, ())] for name in self.names]
+        self.of_length: dict[int, list[int]] = defaultdict(list)
+        for n, length in enumerate(self.lengths):
+            self.of_length[length].append(n)
+        self.known = {
+            length: np.array(sorted(set().union(*(self.sets[n] for n in own))), np.uint64) for length, own in self.of_length.items()
+        }
         self.all = np.array(sorted(set().union(*self.sets)), np.uint64)
 
+    def _phrase(self, phrase: str) -> set[int]:
+        hashes, whole, _ = self.shingles(pa.array([phrase]))
+        return set(hashes[whole].tolist())
+
     def signature(self, hashes: np.ndarray) -> list[tuple]:
         mixed = hashes[:, None] * self.mix[None, :]
         low = (mixed ^ (mixed >> np.uint64(32))).min(axis=0).reshape(BANDS, ROWS).tolist()
         return [(n, *values) for n, values in enumerate(low)]
 
-    def windows(self, words: int, hits: np.ndarray, length: int) -> tuple[np.ndarray, int]:
-        """(starts of the windows that hold one of the shingles, step)."""
+    def windows(self, words: int, hits: np.ndarray, own: np.ndarray, length: int) -> tuple[np.ndarray, int]:
+        """(starts of the windows that hold a hit and have one of their own length at most a step away, step)."""
         step = max(1, length // 8)
         last = max(0, -(-(words - length) // step))  # the window that reaches the end
         reach = length - self.size
-        lows = np.maximum(0, -(-(hits - reach) // step))
-        highs = np.minimum(hits // step, last)
-        picked = {int(n) for low, high in zip(lows, highs) for n in range(low, high + 1)}
-        return np.array(sorted(picked), np.int64) * step, step
+
+        def spread(hits: np.ndarray, more: int) -> np.ndarray:
+            lows = np.clip(-(-(hits - reach) // step) - more, 0, last + 1)
+            highs = np.clip(hits // step + more, -1, last)
+            edges = np.bincount(lows, minlength=last + 2) - np.bincount(highs + 1, minlength=last + 2)
+            return np.cumsum(edges)[: last + 1] > 0
+
+        return np.flatnonzero(spread(hits, 0) & spread(own, 1)) * step, step
 
     def contains(self, template: int, hashes: np.ndarray) -> float:
         return len(self.sets[template].intersection(hashes.tolist())) / len(self.sets[template])
@@ -138,18 +233,23 @@ class Templates:
         """Matches in one text; ``hashes`` of its shingles, ``hits`` those that some template has."""
         found: dict[int, list[tuple[int, int, float]]] = defaultdict(list)
         for length in sorted(set(self.lengths)):
-            starts, step = self.windows(words, hits, length)
+            known = self.known[length]
+            at = np.minimum(np.searchsorted(known, hashes[hits]), len(known) - 1)
+            own = hits[known[at] == hashes[hits]]
+            if not len(own):
+                continue
+            starts, step = self.windows(words, hits, own, length)
             for start in starts.tolist():
                 inside = hashes[start : start + length - self.size + 1]
                 if not len(inside):
                     continue
-                near = {t for band in self.signature(inside) for t in self.bands.get(band, ())}
+                near = self.of_length[length]
+                if step > 1:
+                    near = {t for band in self.signature(inside) for t in self.bands.get(band, ()) if self.lengths[t] == length}
                 for template in near:
-                    if self.lengths[template] != length:
-                        continue
                     around = hashes[max(start - step, 0) : start + length + step - self.size + 1]
                     share = self.contains(template, around)
-                    if share >= self.contained:
+                    if share >= self.contained and all(not mark.isdisjoint(around.tolist()) for mark in self.marks[template]):
                         found[template].append((start, min(start + length, words) - 1, share))
         return [match for template in sorted(found) for match in self._join(template, found[template])]
 
@@ -180,19 +280,21 @@ class Templates:
 
 def scan(
     docs: DataFrame,
-    templates: Mapping[str, str] = TEMPLATES,
+    templates: Mapping[str, str] = TEMPLATES | TEXTS,
     text: str = "text",
     contained: float = CONTAINED,
     shingle: int = SHINGLE,
+    marks: Mapping[str, Sequence[str]] = MARKS,
 ) -> DataFrame:
     """(row, license, first, last, containment): a row per match, places in words of the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(dict(templates))
+    shared = docs.sparkSession.sparkContext.broadcast((dict(templates), dict(marks)))
     kind = pa.list_(
         pa.struct([("license", pa.string()), ("first", pa.int32()), ("last", pa.int32()), ("containment", pa.float64())])
     )
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        index = Templates(shared.value, shingle, contained)
+        templates, marks = shared.value
+        index = Templates(templates, shingle, contained, marks)
         for batch in batches:
             parts = [pa.array([], kind)]
             parts += [pa.array(index.scan(block), kind) for block in blocks(batch)]

@@ -72,3 +72,27 @@ def test_odd_rows(spark):
     assert licenses.scan(docs.limit(0)).collect() == []
     with pytest.raises(ValueError):
         licenses.Templates({"x": "too short"}, 5, 0.8)
+
+
+def found(*texts):
+    index = licenses.Templates(licenses.TEMPLATES | licenses.TEXTS, 5, 0.8, licenses.MARKS)
+    return [{m["license"] for m in matches} for matches in index.scan(pa.array(texts))]
+
+
+def test_whole_texts_and_notices_are_found():
+    every = licenses.TEMPLATES | licenses.TEXTS
+    for name, matches in zip(every, found(*every.values())):
+        assert name in matches, name
+    assert found("Licensed under the MIT License") == [{"MIT line (licensed)"}]
+
+
+def test_versions_are_told_apart():
+    line = "This work is licensed under the GNU General Public License, version {}."
+    assert found(line.format(2), line.format(3)) == [{"GPL-2.0 line"}, {"GPL-3.0 line"}]
+    names = ["GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"]
+    assert found(*(licenses.TEMPLATES[name] for name in names)) == [{name} for name in names]
+    bare, three = licenses.TEMPLATES["BSD-2-Clause whole"], licenses.TEMPLATES["BSD-3-Clause whole"]
+    assert "BSD-3-Clause whole" not in found(bare)[0] and "BSD-3-Clause whole" in found(three)[0]
+    texts = ["GPL-2.0 text", "GPL-3.0 text", "LGPL-2.1 text", "LGPL-3.0 text"]
+    for name, matches in zip(texts, found(*(licenses.TEXTS[name] for name in texts))):
+        assert {m for m in matches if m.endswith(" text")} == {name}
