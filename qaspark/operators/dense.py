@@ -24,7 +24,8 @@ from qaspark.plans.broadcasts import BLOCK_BYTES, split_blocks, union_all
 from qaspark.plans.topk import topk_per
 from qaspark.session import materialize
 
-SCORE_DIGITS = 6
+RANK_DIGITS = 12  # costs are compared to this precision
+SCORE_DIGITS = 6  # of the output
 _SLICE = 512  # questions multiplied with one batch of vectors at a time
 
 Encoder = Callable[[Sequence[str]], np.ndarray]
@@ -102,9 +103,9 @@ def _costs(vectors: np.ndarray, block: np.ndarray, metric: str) -> np.ndarray:
     """(questions x vectors) rounded costs, smaller is better."""
     product = block @ vectors.T
     if metric == "dot":
-        return -np.round(product, SCORE_DIGITS)
+        return -np.round(product, RANK_DIGITS)
     squares = (block**2).sum(axis=1)[:, None] + (vectors**2).sum(axis=1)[None, :]
-    return np.round(np.maximum(squares - 2 * product, 0.0), SCORE_DIGITS)
+    return np.round(np.maximum(squares - 2 * product, 0.0), RANK_DIGITS)
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -165,7 +166,8 @@ def _search(
     if not parts:
         return vectors.sparkSession.createDataFrame([], pair + ", rank int")
     better = F.col("score").desc() if metric == "dot" else F.col("score").asc()
-    return union_all([topk_per(part, "qid", [better, F.col("vec_id")], k) for part in parts])
+    best = [topk_per(part, "qid", [better, F.col("vec_id")], k) for part in parts]
+    return union_all([part.withColumn("score", F.round("score", SCORE_DIGITS)) for part in best])
 
 
 def retrieve_dense(

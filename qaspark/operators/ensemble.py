@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from qaspark.plans.topk import topk_per
 
 BONUS = 0.01
+RANK_DIGITS = 12  # ranks are compared to this precision, so they do not depend on summation order
+SCORE_DIGITS = 6  # of the output
 
 
 def ensemble(
@@ -37,6 +39,7 @@ def ensemble(
         F.count(F.lit(1)).alias("listed"), F.sum(values[weight_mode]).alias("total")
     )
     several = combined[combine] + F.col("listed") * bonus
-    score = F.round(F.when(F.col("listed") == 1, F.col("total")).otherwise(several), 6)
+    score = F.round(F.when(F.col("listed") == 1, F.col("total")).otherwise(several), RANK_DIGITS)
     scored = votes.select("id", "text", score.alias("score"))
-    return topk_per(scored, "id", [F.col("score").desc(), F.col("text")], n)
+    best = topk_per(scored, "id", [F.col("score").desc(), F.col("text")], n)
+    return best.withColumn("score", F.round("score", SCORE_DIGITS))

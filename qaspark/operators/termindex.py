@@ -25,7 +25,8 @@ from qaspark.plans.topk import topk_per
 from qaspark.session import store
 
 _HIT_NAMES = ["qid", "doc_id", "score"]
-SCORE_DIGITS = 6  # scores are compared after rounding, so ties do not depend on summation order
+RANK_DIGITS = 12  # scores are compared to this precision, so ties do not depend on summation order
+SCORE_DIGITS = 6  # of the output
 
 
 def forward_index(
@@ -76,7 +77,7 @@ def score_pairs(weights: DataFrame, block: DataFrame) -> DataFrame:
     return (
         weights.join(F.broadcast(block), "term")
         .groupBy("qid", "doc_id")
-        .agg(F.round(F.sum(product), SCORE_DIGITS).alias("score"))
+        .agg(F.round(F.sum(product), RANK_DIGITS).alias("score"))
     )
 
 
@@ -143,7 +144,7 @@ def _score_batch(best: BestK, asked: tuple[np.ndarray, ...], docs, of_doc, term_
         order = np.argsort(pair, kind="stable")
         pair, gain = pair[order], gain[order]
         first = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
-        scores = -np.round(np.add.reduceat(gain, first), SCORE_DIGITS)
+        scores = -np.round(np.add.reduceat(gain, first), RANK_DIGITS)
         pair = pair[first]
         cuts = np.flatnonzero(np.diff(pair // len(docs), prepend=-1))
         for one, costs, found in zip(
@@ -216,7 +217,7 @@ def best_first() -> list[Column]:
 
 def rank_pairs(pairs: DataFrame, k: int) -> DataFrame:
     """(qid, doc_id, score, rank) of the best k documents per question."""
-    return topk_per(pairs, "qid", best_first(), k)
+    return topk_per(pairs, "qid", best_first(), k).withColumn("score", F.round("score", SCORE_DIGITS))
 
 
 def fill_up(hits: DataFrame, questions: DataFrame, corpus: DataFrame, k: int) -> DataFrame:

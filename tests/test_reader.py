@@ -239,3 +239,8 @@ def test_runs_hold_every_answer_of_up_to_thirty_tokens(spark):
 def test_narrow_limits_provoke_the_fallback(spark):
     empty = checks.empty_fallback(spark, FOLDER).filter("prediction_text = 'empty'").count()
     assert 0 < empty < len(checks._examples(spark, FOLDER).collect())
+
+
+def test_ensemble_ranks_beyond_six_digits(spark):
+    nbest = spark.createDataFrame([("q", "a", 0.5, 1.0), ("q", "b", 0.5 + 1e-8, 1.0)], "id string, text string, probability double, weight double")
+    assert [(r["text"], r["score"]) for r in vote.ensemble(nbest).collect()] == [("b", 0.5)]

@@ -2,8 +2,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from qaspark.operators import bm25, dense, losses, rerank, tfidf
+from qaspark.operators import bm25, dense, losses, rerank, termindex, tfidf
 from qaspark.operators.quality import recall_at_k
+from qaspark.plans.bestk import BestK
 
 DOCS = [(0, "a b a"), (1, "b c"), (2, "c d e")]
 
@@ -221,3 +222,19 @@ def test_losses(spark):
     assert losses.inbatch_nll(scores).first()["loss"] == pytest.approx(0.410038, abs=1e-6)
     listed = spark.createDataFrame([(1, 1, 3.0), (1, 0, 2.0), (1, 0, 0.0)], "qid long, label int, score double")
     assert losses.list_loss(listed).first()["loss"] == pytest.approx(0.349012, abs=1e-6)
+
+
+@pytest.mark.parametrize("metric, value", [("dot", 1.0 + 1e-8), ("l2", 1.0 - 1e-8)])
+def test_dense_ranks_beyond_six_digits(spark, metric, value):
+    stored = spark.createDataFrame([(1, [1.0, 0.0]), (2, [value, 0.0])], "vec_id long, embedding array<double>")
+    asked = spark.createDataFrame([(1, [1.0 if metric == "dot" else 0.0, 0.0])], "qid long, embedding array<double>")
+    assert [(r["vec_id"], r["score"]) for r in dense.retrieve_dense(asked, stored, 1, metric).collect()] == [(2, 1.0)]
+
+
+def test_sparse_ranks_beyond_six_digits(spark):
+    best = BestK(1, 1)
+    asked = np.array([1]), np.array([0, 1]), np.array([0]), np.array([1.0])
+    termindex._score_batch(best, asked, np.array([1, 2]), np.array([0, 1]), np.array([0, 0]), np.array([0.5, 0.5 + 1e-8]))
+    assert best.ids[0].tolist() == [2]
+    pairs = spark.createDataFrame([(1, 1, 0.5), (1, 2, 0.5 + 1e-8)], "qid long, doc_id long, score double")
+    assert [(r["doc_id"], r["score"]) for r in termindex.rank_pairs(pairs, 1).collect()] == [(2, 0.5)]
