@@ -39,7 +39,7 @@ SHINGLE = 5
 SIMILAR = 80  # percent
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
-BLOCK_SHINGLES = 1 << 20  # of the sets that one task compares with each other
+BLOCK_SHINGLES = 1 << 18  # of the sets that one task compares with each other
 EDGES_PER_COPY = 1 << 12
 ATTEMPTS = 4096
 WORD = ~byte_class((0x09, 0x0D), (0x20, 0x20))
@@ -172,12 +172,13 @@ def stars(nodes: DataFrame) -> DataFrame:
     bands = nodes.select("node", F.explode("bands").alias("key"))
     sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     sizes = store(sizes, "buckets")
-    met = store(join_counted(bands, sizes, ["key"], "m", nodes.count() * BANDS), "met")
+    # a bucket has at most one of the BANDS rows of a node; Spark splits what is skewed all the same
+    met = store(bands.join(sizes, "key"), "met")
     mates = met.groupBy("node").agg(F.sum("m").alias("mates"))  # a node is in no more buckets than bands
     ranked = store(met.join(mates, "node"), "ranked")
     best = F.max(F.struct("mates", "node")).getField("node").alias("centre")
-    centres = store(ranked.groupBy("key").agg(best, F.max("m").alias("m")), "centres")
-    edges = join_counted(ranked.select("key", "node"), centres, ["key"], "m", ranked.count())
+    centres = store(ranked.groupBy("key").agg(best), "centres")
+    edges = ranked.select("key", "node").join(centres, "key")
     return edges.filter("centre <> node").select("centre", "node").distinct()
 
 
