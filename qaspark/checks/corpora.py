@@ -351,11 +351,10 @@ SQL = {
     "split_scan": f"with {_FLAGGED} select doc_id, title, text from flagged where split = 'validation'",
     "qa_json_roundtrip": f"""with {SQL_QA} select id, question, context, answer_text,
         cast(answer_start as bigint) as answer_start from qa""",
-    "longdoc_scan": f"""select p.page_id // {FILE_ROWS} as file_no,
-        row_number() over (partition by p.page_id // {FILE_ROWS} order by p.page_id) - 1 as doc_no,
-        p.url as title, cast(p.page_id as varchar) as question_id, coalesce(c.text, '') as question,
-        p.url as answer_text, length(p.html) as n
-        from pages p left join conversations c on c.conv_id = p.page_id and c.turn = 0""",
+    "longdoc_scan": f"""select page_id // {FILE_ROWS} as file_no,
+        row_number() over (partition by page_id // {FILE_ROWS} order by page_id) - 1 as doc_no,
+        url as title, cast(page_id as varchar) as question_id, url as question, url as answer_text,
+        md5(html) as context_md5 from pages""",
     "squad_scan": f"""with {SQL_QA} select id, id as title, context, question, answer_text,
         cast(answer_start as bigint) as answer_start from qa
         union all select 'x' || id, id, context, 'again: ' || question, answer_text,

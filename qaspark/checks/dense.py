@@ -147,7 +147,7 @@ _FLAT = f"""{_V}, flat as materialized (select vec_id, label, unnest(x) as value
 means as materialized (select label, list(m order by dim) as c from (
   select label, dim, avg(value) as m from flat group by all) group by label)"""
 _L2 = "greatest(list_dot_product({a}, {a}) + list_dot_product({b}, {b}) - 2 * list_dot_product({a}, {b}), 0)"
-_TOP = """select qid, {id}, score, rank from (select *, row_number() over (
+_TOP = """select qid, {id}, round(score, 6) as score, rank from (select *, row_number() over (
   partition by qid order by score {way}, {id}) as rank from scored) where rank <= 10"""
 _DESC = _TOP.format(id="cand_id", way="desc")
 
@@ -179,11 +179,11 @@ SQL = {
         select doc_id, dim, round(value, 6) + 0.0 as value from dvec""",
     "dense_topk": f"""with {_hashed('d', 'doc_id', 'text', 'documents')},
         {_hashed('q', 'item_id', 'text', 'benchmark')},
-        scored as (select item_id as qid, doc_id as vec_id, round(sum(q.value * d.value), 6) as score
+        scored as (select item_id as qid, doc_id as vec_id, round(sum(q.value * d.value), 12) as score
           from qvec q join dvec d using (dim) group by all)
         {_TOP.format(id='vec_id', way='desc')}""",
     "l2_topk": f"""with {_FLAT}, scored as (select m.label as qid, p.vec_id,
-          round({_L2.format(a='m.c', b='p.x')}, 6) as score from means m cross join v p)
+          round({_L2.format(a='m.c', b='p.x')}, 12) as score from means m cross join v p)
         {_TOP.format(id='vec_id', way='asc')}""",
     "ivf_assign": f"with {_FLAT}, {_CELLS} select vec_id, cell from cells",
     "ivf_search": f"""with {_FLAT}, {_CELLS},
@@ -192,7 +192,7 @@ SQL = {
         near as (select qid, label as cell from (select a.qid, m.label, row_number() over (
           partition by a.qid order by round({_L2.format(a='a.x', b='m.c')}, 6), m.label) as n
           from asked a cross join means m) where n <= 2),
-        scored as (select a.qid, v.vec_id, round({_L2.format(a='a.x', b='v.x')}, 6) as score
+        scored as (select a.qid, v.vec_id, round({_L2.format(a='a.x', b='v.x')}, 12) as score
           from asked a join near using (qid) join cells using (cell) join v using (vec_id))
         {_TOP.format(id='vec_id', way='asc')}""",
     "scalar_quantize": f"""with {_FLAT}, span as (select dim, min(value) as lo, max(value) as hi from flat group by 1)

@@ -343,7 +343,7 @@ best as (select id, max(em) as exact_match, max(f1) as f1 from scored group by i
 def _sql_vote(value, several, n):
     return f"""votes as (select id, text, count(*) as listed, sum({value}) as total from (
       select *, cast(model as integer) / 100 as weight from final) group by id, text),
-    scored as (select id, text, round(case when listed = 1 then total else {several} end, 6) as score from votes),
+    scored as (select id, text, round(case when listed = 1 then total else {several} end, 12) as score from votes),
     voted as (select *, row_number() over (partition by id order by score desc, text) as rank from scored)
     """, f"from voted where rank <= {n}"
 
@@ -421,8 +421,8 @@ SQL = {
           from logits l join labels_at a using (id, chunk_no) group by 1, 2)
         select round(avg(s), 6) as start_loss, round(avg(e), 6) as end_loss,
           round((avg(s) + avg(e)) / 2, 6) as loss from ce""",
-    "nbest_scan": f"""with {_sql_decode(MODELS, longest=4)} select model, cast(model as integer) / 100 as weight, id, rank,
+    "nbest_scan": f"""with {_sql_decode(MODELS)} select model, cast(model as integer) / 100 as weight, id, rank,
         text, round(probability, 6) as probability from final""",
-    "ensemble_vote": f"""with {_sql_decode(MODELS, longest=4)}, {_VOTE[0]} select id, text, score {_VOTE[1]}""",
-    "ensemble_nbest": f"""with {_sql_decode(MODELS, longest=4)}, {_VOTE_N[0]} select id, rank, text, score {_VOTE_N[1]}""",
+    "ensemble_vote": f"""with {_sql_decode(MODELS)}, {_VOTE[0]} select id, text, round(score, 6) as score {_VOTE[1]}""",
+    "ensemble_nbest": f"""with {_sql_decode(MODELS)}, {_VOTE_N[0]} select id, rank, text, round(score, 6) as score {_VOTE_N[1]}""",
 }

@@ -162,7 +162,7 @@ idfs as materialized (select term, df, case when r < 0 then 0.25 * (select avg(r
 _SCORED = """qterms as (select qid, term, count(*) as qtf from (
   select qid, unnest({tokens}) as term from {source}) group by all),
 scored as materialized (select q.qid, t.doc_id, round(sum(q.qtf * i.idf * t.tf * 2.5 /
-    (t.tf + 1.5 * (1 - 0.75 + 0.75 * l.length / mean_length))), 6) as score
+    (t.tf + 1.5 * (1 - 0.75 + 0.75 * l.length / mean_length))), 12) as score
   from qterms q join tf t using (term) join idfs i using (term) join lens l using (doc_id), facts
   {where} group by q.qid, t.doc_id),
 ranked as materialized (select *, row_number() over (partition by qid order by score desc, doc_id) as rank from scored),
@@ -201,7 +201,7 @@ _TFIDF_HITS = f"""qwords as (select qid, {sql_tokens('lower(question)')} as w fr
     select qid, term, lead(term) over (partition by qid order by pos) as nxt from qplaced) where nxt is not null),
   qraw as (select qid, term, count(*) * any_value(idf) as w from qgrams join vocab using (term) group by qid, term),
   qw as (select qid, term, w / sqrt(sum(w * w) over (partition by qid)) as qweight from qraw),
-  scored as (select qid, doc_id, round(sum(weight * qweight), 6) as score from qw join docw using (term) group by all),
+  scored as (select qid, doc_id, round(sum(weight * qweight), 12) as score from qw join docw using (term) group by all),
   ranked as (select *, row_number() over (partition by qid order by score desc, doc_id) as rank from scored)"""
 
 SQL = {
@@ -209,14 +209,14 @@ SQL = {
         n as documents, round(mean_length, 6) as mean_length
         from lens l left join (select doc_id, count(*) as n_terms from tf group by 1) t using (doc_id), facts""",
     "bm25_idf": f"with {_INDEX} select term, df, round(idf, 6) as idf from idfs",
-    "bm25_scores": f"""with {_BM25} select doc_id, count(*) as n_questions, max(score) as best_score,
-        min(score) as worst_score from scored group by doc_id""",
-    "bm25_topk": f"with {_BM25} select qid, doc_id, score, rank from hits",
+    "bm25_scores": f"""with {_BM25} select doc_id, count(*) as n_questions, round(max(score), 6) as best_score,
+        round(min(score), 6) as worst_score from scored group by doc_id""",
+    "bm25_topk": f"with {_BM25} select qid, doc_id, round(score, 6) as score, rank from hits",
     "bm25_subset": f"""with {_INDEX}, {_scored('where t.doc_id in (select doc_id from labels where quality = 1)')}
-        select qid, doc_id, score, rank from hits""",
+        select qid, doc_id, round(score, 6) as score, rank from hits""",
     "bm25_single": f"""with {_INDEX}, probe as (select 0 as qid, '{PROBE}' as question), {_scored(source='probe')}
-        select doc_id, score, text from hits join passages using (doc_id)""",
-    "index_reuse": f"with {_BM25} select qid, doc_id, score, rank from hits",
+        select doc_id, round(score, 6) as score, text from hits join passages using (doc_id)""",
+    "index_reuse": f"with {_BM25} select qid, doc_id, round(score, 6) as score, rank from hits",
     "attach_text": f"with {_BM25} select qid, rank, doc_id, text from hits join passages using (doc_id)",
     "context_concat": f"with {_BM25}, {_JOINED} select qid, question, context from joined",
     "attach_gold": f"""with {_BM25}, {_JOINED} select j.qid, j.question, j.context,
@@ -231,7 +231,7 @@ SQL = {
         from joined group by k""",
     "tfidf_vocab": f"with {_tfidf()} select term, cf, df, round(idf, 6) as idf from vocab",
     "tfidf_weights": f"with {_tfidf()} select doc_id, term, round(weight, 6) as weight from docw",
-    "tfidf_topk": f"with {_tfidf()}, {_TFIDF_HITS} select qid, doc_id, score, rank from ranked where rank <= 10",
+    "tfidf_topk": f"with {_tfidf()}, {_TFIDF_HITS} select qid, doc_id, round(score, 6) as score, rank from ranked where rank <= 10",
     "oov_questions": f"""with {_tfidf(False)}, {SQL_PAIRS},
         spoken as (select id, {sql_tokens('question')} as w from pairs),
         turns as (select id || '-' || pos as qid, question from (

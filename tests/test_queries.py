@@ -11,6 +11,7 @@ def test_every_query_has_its_sql():
     own = {name for group in entry._GROUPS for name in group.QUERIES}
     assert own <= set(entry.queries()) and own <= set(entry.oracle_sql()) <= set(entry.queries())
     assert len(own) >= 90
+    assert all(isinstance(sql, str) for sql in entry.oracle_sql().values())
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not there")
