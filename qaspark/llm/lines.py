@@ -88,8 +88,9 @@ def suspected(keyed: DataFrame, doc_id: str, text: str, min_chars: int, bits: in
         seen_twice(keyed.select(F.col("row").getField(text).alias("text")), _keys_per_text(min_chars), bits)
     )
     given = keyed.select(
-        "k1", "k2", F.col("row").getField(doc_id).cast("string").alias("doc"), F.col("row").getField(text).alias("text")
+        "k1", "k2", F.col("row").getField(doc_id).alias("doc"), F.col("row").getField(text).alias("text")
     )
+    kind = given.schema["doc"].dataType.simpleString()
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, twice = LineKeys(min_chars), Bits(bits, shared.value)
@@ -110,7 +111,7 @@ def suspected(keyed: DataFrame, doc_id: str, text: str, min_chars: int, bits: in
                 )
                 at += len(counts)
 
-    return given.mapInArrow(find, "k1 long, k2 long, doc string, line long, h1 long, h2 long")
+    return given.mapInArrow(find, f"k1 long, k2 long, doc {kind}, line long, h1 long, h2 long")
 
 
 def drop_lines(
@@ -126,15 +127,15 @@ def drop_lines(
     """The documents with their repeated lines dropped from ``text``.
 
     A line goes if its key is found in at least ``min_docs`` documents (two or more). ``keep="first"``
-    leaves the first line of the document with the smallest id, as text; repeats of that row
-    included. ``counts`` names two columns to add: lines before, and lines dropped.
+    leaves the first line of the document with the smallest id, repeats of that row included; ids
+    compare by their own type, a null id comes last. ``counts`` names two columns to add: lines before, and lines dropped.
     """
     if min_docs < 2 or keep not in ("none", "first"):
         raise ValueError("min_docs starts at 2; keep is none or first")
     keyed = with_row_key(docs, doc_id, text)
     found = store(suspected(keyed, doc_id, text, min_chars, bits or filter_bits(text_bytes(docs, text) // 256)), "lines")
     total = found.count()
-    first = F.min(F.struct("doc", "k1", "k2", "line")).alias("first")
+    first = F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "k1", "k2", "line")).alias("first")
     groups = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), first)
     groups = store(groups.filter(F.col("n") >= min_docs), "repeats")
     own = (F.col("first.k1") == F.col("k1")) & (F.col("first.k2") == F.col("k2"))

@@ -14,13 +14,13 @@ def key(line):
 def brute(docs, min_docs, min_chars, keep):
     """docs: (id, text); the kept text of each."""
     seen, first = Counter(), {}
-    for place, (_, text) in enumerate(sorted(docs, key=lambda d: str(d[0]))):
+    for place, (_, text) in enumerate(sorted(docs, key=lambda d: (d[0] is None, d[0]))):
         for at, one in enumerate((text or "").split("\n")):
             first.setdefault(key(one), (place, at))
     for _, text in docs:
         seen.update({key(one) for one in (text or "").split("\n")})
     out = {}
-    for place, (doc, text) in enumerate(sorted(docs, key=lambda d: str(d[0]))):
+    for place, (doc, text) in enumerate(sorted(docs, key=lambda d: (d[0] is None, d[0]))):
         rows = (text or "").split("\n")
         kept = [
             one
