@@ -14,7 +14,7 @@ from qaspark.checks.tables import (
     sql_tokens,
     table,
 )
-from qaspark.operators import bm25, corpus as ops, tfidf
+from qaspark.operators import bm25, corpus as ops, inverted, tfidf
 from qaspark.operators.prepare import tokenize_rows
 from qaspark.operators.quality import recall_at_k as recall
 from qaspark.session import scratch_path
@@ -72,6 +72,12 @@ def bm25_single(spark, folder):
     return bm25.top_n(PROBE, bm25.build_index(docs), docs, K)
 
 
+def bm25_lists(spark, folder):
+    """As ``bm25_topk``, from stored inverted lists of which only what can matter is read."""
+    index = bm25.build_index(passages(spark, folder))
+    return inverted.retrieve(questions(spark, folder), index, inverted.build_lists(index), K)
+
+
 def index_reuse(spark, folder):
     docs = passages(spark, folder)
     store = IndexStore(spark, scratch_path(spark, "store"))
@@ -138,7 +144,7 @@ def oov_questions(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        bm25_term_stats, bm25_idf, bm25_scores, bm25_topk, bm25_subset, bm25_single, index_reuse,
+        bm25_term_stats, bm25_idf, bm25_scores, bm25_topk, bm25_lists, bm25_subset, bm25_single, index_reuse,
         attach_text, context_concat, attach_gold, recall_at_k, tfidf_vocab, tfidf_weights,
         tfidf_topk, oov_questions,
     )
@@ -212,6 +218,7 @@ SQL = {
     "bm25_scores": f"""with {_BM25} select doc_id, count(*) as n_questions, round(max(score), 6) as best_score,
         round(min(score), 6) as worst_score from scored group by doc_id""",
     "bm25_topk": f"with {_BM25} select qid, doc_id, round(score, 6) as score, rank from hits",
+    "bm25_lists": f"with {_BM25} select qid, doc_id, round(score, 6) as score, rank from hits",
     "bm25_subset": f"""with {_INDEX}, {_scored('where t.doc_id in (select doc_id from labels where quality = 1)')}
         select qid, doc_id, round(score, 6) as score, rank from hits""",
     "bm25_single": f"""with {_INDEX}, probe as (select 0 as qid, '{PROBE}' as question), {_scored(source='probe')}
