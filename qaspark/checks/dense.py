@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from qaspark.checks.tables import corpus, questions, sql_hash, sql_tokens, table
 from qaspark.functions.vectors import dot
-from qaspark.operators import dense, losses, rerank
+from qaspark.operators import cells, dense, losses, rerank
 from qaspark.plans.topk import topk_per
 from qaspark.sources.readers import read_table
 
@@ -66,6 +66,32 @@ def ivf_search(spark, folder):
     return dense.ivf_search(_asked(spark, folder), index, centroids, K, nprobe=2)
 
 
+def _stored_cells(spark, folder):
+    return cells.build_cells(vectors(spark, folder), label_means(spark, folder))
+
+
+def ivf_stored(spark, folder):
+    """As ``ivf_search``, from a table partitioned by cell."""
+    return cells.search(_asked(spark, folder), _stored_cells(spark, folder), K, nprobe=2)
+
+
+def ivf_codes(spark, folder):
+    """Search on 8-bit codes in the nearest cells, the best forty then ranked exactly."""
+    return cells.search_codes(_asked(spark, folder), _stored_cells(spark, folder), K, nprobe=2)
+
+
+def code_recall(spark, folder):
+    """Share of the exact nearest ten of each label's mean that search on codes finds, over all cells."""
+    asked = _label_questions(spark, folder)
+    index = _stored_cells(spark, folder)
+    found = cells.search_codes(asked, index, K, nprobe=len(index.centroids)).select("qid", "vec_id")
+    real = dense.retrieve_dense(asked, vectors(spark, folder), K, "l2").select("qid", "vec_id")
+    hit = real.join(found.withColumn("hit", F.lit(1)), ["qid", "vec_id"], "left")
+    return hit.groupBy("qid").agg(
+        F.count(F.lit(1)).alias("n"), (F.sum(F.coalesce("hit", F.lit(0))) >= 0.9 * F.count(F.lit(1))).alias("enough")
+    )
+
+
 def scalar_quantize(spark, folder):
     stored = vectors(spark, folder)
     coded = dense.sq_encode(stored, dense.value_ranges(stored, DIM))
@@ -136,7 +162,8 @@ def list_loss(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        hash_embed, dense_topk, l2_topk, ivf_assign, ivf_search, scalar_quantize, pool_vectors,
+        hash_embed, dense_topk, l2_topk, ivf_assign, ivf_search, ivf_stored, ivf_codes, code_recall,
+        scalar_quantize, pool_vectors,
         bi_rerank, poly_rerank, linear_rerank, inbatch_nll, list_loss,
     )
 }
@@ -174,6 +201,13 @@ def _hashed(name, key, text, source):
           from {name}grid g left join {name}sum s using ({key}, dim) left join {name}norm n on n.{key} = g.{key})"""
 
 
+_NEAR = f"""with {_FLAT}, {_CELLS},
+        {_hashed('q', 'item_id', 'text', 'benchmark')},
+        asked as materialized (select item_id as qid, list(value order by dim) as x from qvec group by item_id),
+        near as (select qid, label as cell from (select a.qid, m.label, row_number() over (
+          partition by a.qid order by round({_L2.format(a='a.x', b='m.c')}, 6), m.label) as n
+          from asked a cross join means m) where n <= 2),"""
+
 SQL = {
     "hash_embed": f"""with {_hashed('d', 'doc_id', 'text', 'documents')}
         select doc_id, dim, round(value, 6) + 0.0 as value from dvec""",
@@ -186,15 +220,26 @@ SQL = {
           round({_L2.format(a='m.c', b='p.x')}, 12) as score from means m cross join v p)
         {_TOP.format(id='vec_id', way='asc')}""",
     "ivf_assign": f"with {_FLAT}, {_CELLS} select vec_id, cell from cells",
-    "ivf_search": f"""with {_FLAT}, {_CELLS},
-        {_hashed('q', 'item_id', 'text', 'benchmark')},
-        asked as materialized (select item_id as qid, list(value order by dim) as x from qvec group by item_id),
-        near as (select qid, label as cell from (select a.qid, m.label, row_number() over (
-          partition by a.qid order by round({_L2.format(a='a.x', b='m.c')}, 6), m.label) as n
-          from asked a cross join means m) where n <= 2),
+    "ivf_search": f"""{_NEAR}
         scored as (select a.qid, v.vec_id, round({_L2.format(a='a.x', b='v.x')}, 12) as score
           from asked a join near using (qid) join cells using (cell) join v using (vec_id))
         {_TOP.format(id='vec_id', way='asc')}""",
+    "ivf_stored": f"""{_NEAR}
+        scored as (select a.qid, v.vec_id, round({_L2.format(a='a.x', b='v.x')}, 12) as score
+          from asked a join near using (qid) join cells using (cell) join v using (vec_id))
+        {_TOP.format(id='vec_id', way='asc')}""",
+    "ivf_codes": f"""{_NEAR}
+        span as (select dim, min(value) as lo, case when max(value) > min(value) then max(value) - min(value) else 1 end as w
+          from flat group by 1),
+        coded as materialized (select vec_id, list(lo + round((value - lo) / w * 255) * (w / 255) order by dim) as y
+          from flat join span using (dim) group by vec_id),
+        rough as (select a.qid, c.vec_id, round(list_sum(list_transform(list_zip(a.x, c.y), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 12) as d
+          from asked a join near using (qid) join cells using (cell) join coded c using (vec_id)),
+        best as (select * from (select *, row_number() over (partition by qid order by d, vec_id) as n from rough) where n <= 40),
+        scored as (select a.qid, v.vec_id, round({_L2.format(a='a.x', b='v.x')}, 12) as score
+          from best join asked a using (qid) join v using (vec_id))
+        {_TOP.format(id='vec_id', way='asc')}""",
+    "code_recall": f"""with {_FLAT} select m.label as qid, least(10, (select count(*) from v)) as n, true as enough from means m""",
     "scalar_quantize": f"""with {_FLAT}, span as (select dim, min(value) as lo, max(value) as hi from flat group by 1)
         select vec_id, string_agg(cast(cast(round((value - lo) / (hi - lo) * 255) as integer) as varchar), ','
           order by dim) as codes from flat join span using (dim) group by vec_id""",
