@@ -17,7 +17,7 @@ from qaspark.operators.termindex import (
     score_blocks,
 )
 from qaspark.plans.broadcasts import BLOCK_BYTES, broadcast_if_small, measured_bytes
-from qaspark.plans.topk import top_n
+from qaspark.plans.select import largest
 from qaspark.session import store
 
 MAX_FEATURES = 50_000
@@ -58,9 +58,7 @@ def fit(
     """Count terms once and keep the ``max_features`` most frequent (ties by term)."""
     forward = store(forward_index(corpus, doc_id, text, scheme, lower, bigrams), "grams")
     documents = forward.count()
-    best = top_n(
-        term_statistics(forward), [F.col("cf").desc(), F.col("term")], max_features, ["term"]
-    )
+    best = largest(store(term_statistics(forward), "terms"), "cf", ["term"], max_features)
     vocabulary = best.withColumn("idf", smooth_idf(documents, F.col("df")))
     return TfidfModel(store(vocabulary, "vocabulary"), forward, documents, scheme, lower, bigrams)
 
