@@ -45,15 +45,25 @@ def _usable(vector: Column) -> Column:
     return whole & F.exists(vector, lambda x: x != 0)
 
 
-def distinct_vectors(rows: DataFrame, vec_id: str, vector: str, copies: int) -> DataFrame:
-    """(entry, vector, ids): each distinct usable vector, with its ``copies`` smallest ids."""
+def _given(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
+    """(id, vector) of the usable vectors."""
     given = rows.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
     # a zero has one sign only, so that equal vectors have equal bytes
-    given = given.filter(F.col("id").isNotNull() & _usable(F.col("vector"))).withColumn(
+    return given.filter(F.col("id").isNotNull() & _usable(F.col("vector"))).withColumn(
         "vector", F.transform("vector", lambda x: x + F.lit(0.0))
     )
-    sizes = given.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    given = given.filter(F.size("vector") == (sizes["size"] if sizes else 0)).distinct()
+
+
+def common_length(rows: DataFrame, vec_id: str, vector: str) -> int:
+    """The commonest length of the usable vectors, of equally common ones the least; 0 if there is none."""
+    sizes = _given(rows, vec_id, vector).groupBy(F.size("vector").alias("size")).count()
+    first = sizes.orderBy(F.desc("count"), "size").first()
+    return first["size"] if first else 0
+
+
+def distinct_vectors(rows: DataFrame, vec_id: str, vector: str, copies: int, length: int) -> DataFrame:
+    """(entry, vector, ids): each distinct usable vector of that length, with its ``copies`` smallest ids."""
+    given = _given(rows, vec_id, vector).filter(F.size("vector") == length).distinct()
     digest = [F.xxhash64("vector").alias("e1"), F.xxhash64(F.lit("v"), "vector").alias("e2")]
     keyed = given.select("id", "vector", *digest)
     least = topk_per(keyed.select("e1", "e2", "id"), ["e1", "e2"], [F.col("id")], copies)
@@ -114,8 +124,9 @@ def search(
     pivot_bounds: tuple[int, int] = PIVOTS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest ``k`` found for each query id, by Euclidean distance."""
-    entries = store(distinct_vectors(rows, vec_id, vector, k + 1), "entries")
-    asked = store(distinct_vectors(queries, vec_id, vector, 1), "asked").select("entry", "vector")
+    length = common_length(rows, vec_id, vector)  # of rows and queries alike
+    entries = store(distinct_vectors(rows, vec_id, vector, k + 1, length), "entries")
+    asked = store(distinct_vectors(queries, vec_id, vector, 1, length), "asked").select("entry", "vector")
     count = entries.count()
     pivots = choose_pivots(entries, count, pivot_bounds)
     dim = pivots.shape[1] if len(pivots) else 1

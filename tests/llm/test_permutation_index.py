@@ -81,3 +81,14 @@ def test_recall(spark):
     found = pi.op2_permutation_index(spark, FOLDER).cache()
     assert found.count() == exact.count() == 200
     assert pi.recall(found, exact) >= 0.95
+
+
+def test_two_lengths_of_vectors(spark):
+    rng = np.random.default_rng(4)
+    rows = [(n, [float(x) for x in rng.normal(size=8 if n % 100 == 0 else 16)]) for n in range(300)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    # the length is that of most rows, so the short queries take no part
+    assert pi.search(table, table.filter("vec_id % 100 = 0")).collect() == []
+    mixed = pi.search(table, table.filter("vec_id % 50 = 0")).collect()
+    assert {r.query_id for r in mixed} == {50, 150, 250} and len(mixed) == 30
+    assert not {r.vec_id for r in mixed} & {0, 100, 200}
