@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -26,16 +27,36 @@ def test_replay_agrees_with_the_library():
     assert encoder.encode(texts).to_pylist() == [PLAIN.encode_ordinary(t) for t in texts]
 
 
+def test_long_words_take_work_in_proportion():
+    rng = random.Random(8)
+    long = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n)) for n in (257, 1_000, 50_000, 1_000_000)]
+    long += ["ab" * 40_000, " " * 70_000, "é" * 9_000, "aaab" * 500]
+    encoder = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
+    began = time.time()
+    found = encoder.encode(long)
+    assert time.time() - began < 60  # seconds even on a slow machine; quadratic work takes hours
+    assert found.to_pylist() == [PLAIN.encode_ordinary(t) for t in long]
+
+
+@pytest.mark.parametrize("way", [bpe._by_index, bpe._by_steps])
+def test_both_ways_of_replay_agree_with_the_library(way):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdeé 1n", k=rng.randint(1, 40))) for _ in range(800)]
+    plain = tiktoken.Encoding("whole", pat_str=r"[\s\S]+", mergeable_ranks=RANKS, special_tokens={})
+    found = way([w.encode() for w in words], bpe.Merges(RANKS))
+    assert [np.frombuffer(ids, np.int32).tolist() for ids in found] == [plain.encode_ordinary(w) for w in words]
+
+
 def test_a_merge_may_make_a_lower_one():
     # "ab" leads to "abc", which ranks below "ab": the second "ab" of the word has to wait
     ranks = {bytes([v]): v + 10 for v in range(256)}
     ranks |= {b"ab": 400, b"abc": 1, b"cab": 2}
     own = tiktoken.Encoding("own", pat_str=r".+", mergeable_ranks=ranks, special_tokens={})
     words = ["abcab", "ababc", "cabcab", "abcabcabc", "bcaab"]
-    found = bpe.replay([w.encode() for w in words], bpe.Merges(ranks))
-    assert [np.frombuffer(ids, np.int32).tolist() for ids in found] == [
-        own.encode_ordinary(w) for w in words
-    ]
+    words.append("abcabab" * 100)
+    for way in (bpe._by_index, bpe._by_steps):
+        found = way([w.encode() for w in words], bpe.Merges(ranks))
+        assert [np.frombuffer(ids, np.int32).tolist() for ids in found] == [own.encode_ordinary(w) for w in words]
 
 
 def test_rows(spark):
