@@ -152,11 +152,18 @@ def inbatch_nll(spark, folder):
     return rows.select("batch", F.round("loss", 6).alias("loss"))
 
 
-def list_loss(spark, folder):
-    scores = _batch_scores(spark, folder).select(
+def _candidate_scores(spark, folder):
+    return _batch_scores(spark, folder).select(
         F.col("row").alias("qid"), (F.col("row") == F.col("col")).cast("int").alias("label"), "score"
     )
-    return losses.list_loss(scores).select("qid", F.round("loss", 6).alias("loss"))
+
+
+def mean_list_loss(spark, folder):
+    return losses.mean_list_loss(_candidate_scores(spark, folder)).select(F.round("loss", 6).alias("loss"))
+
+
+def list_loss(spark, folder):
+    return losses.list_loss(_candidate_scores(spark, folder)).select("qid", F.round("loss", 6).alias("loss"))
 
 
 QUERIES = {
@@ -164,7 +171,7 @@ QUERIES = {
     for f in (
         hash_embed, dense_topk, l2_topk, ivf_assign, ivf_search, ivf_stored, ivf_codes, code_recall,
         scalar_quantize, pool_vectors,
-        bi_rerank, poly_rerank, linear_rerank, inbatch_nll, list_loss,
+        bi_rerank, poly_rerank, linear_rerank, inbatch_nll, list_loss, mean_list_loss,
     )
 }
 
@@ -263,6 +270,9 @@ SQL = {
     "inbatch_nll": f"""with {_BATCHES}, lines as (select batch, row, ln(sum(exp(s))) - max(s) filter (row = col) as l
           from scores group by all)
         select batch, round(avg(l), 6) as loss from lines group by batch""",
+    "mean_list_loss": f"""with {_BATCHES}, lists as (select row,
+        -ln(max(exp(s)) filter (row = col) / (sum(exp(s)) + 1e-9)) + 1e-9 as l from scores group by row)
+        select round(avg(l), 6) as loss from lists""",
     "list_loss": f"""with {_BATCHES} select row as qid,
         round(-ln(max(exp(s)) filter (row = col) / (sum(exp(s)) + 1e-9)) + 1e-9, 6) as loss
         from scores group by row""",
