@@ -43,6 +43,15 @@ def corpus_scan(spark, folder):
     return read.select(F.col("key").cast("long").alias("doc_id"), "text", "title", "domain")
 
 
+def corpus_objects(spark, folder):
+    """The corpus as JSON objects of whatever size tasks have, read back by byte ranges."""
+    path = scratch_path(spark, "objects")
+    record = F.struct("text", "title", "domain")
+    writers.write_objects(corpus(spark, folder), path, "doc_id", record)
+    read = readers.read_corpus(spark, path)
+    return read.select(F.col("key").cast("long").alias("doc_id"), "text", "title", "domain")
+
+
 def _flagged(spark, folder):
     labels = table(spark, folder, "labels").select("doc_id", "quality")
     split = F.when(F.col("quality") == 1, "train").when(F.col("quality") == 0, "validation")
@@ -291,7 +300,7 @@ def top_values(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        corpus_scan, split_scan, qa_json_roundtrip, longdoc_scan, squad_scan, shard_assign,
+        corpus_scan, corpus_objects, split_scan, qa_json_roundtrip, longdoc_scan, squad_scan, shard_assign,
         csv_roundtrip, corpus_dedup, duplicate_rows, dedup_before_after, distinct_corpus,
         augment_union, title_count_join, title_count_norm, holdout_split, prefix_split, row_sample,
         negative_sampling, describe_lengths, describe_text, title_counts, title_counts_summary,
@@ -348,6 +357,7 @@ def _sql_clean(column, variant="wiki"):
 
 SQL = {
     "corpus_scan": f"with {SQL_CORPUS} select doc_id, text, title, domain from corpus",
+    "corpus_objects": f"with {SQL_CORPUS} select doc_id, text, title, domain from corpus",
     "split_scan": f"with {_FLAGGED} select doc_id, title, text from flagged where split = 'validation'",
     "qa_json_roundtrip": f"""with {SQL_QA} select id, question, context, answer_text,
         cast(answer_start as bigint) as answer_start from qa""",

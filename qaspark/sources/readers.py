@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from qaspark.sources.objects import read_entries
 from qaspark.sources.schemas import LONGDOC, NBEST_ENTRY, PASSAGE, QA, SQUAD
 
 
@@ -31,23 +32,16 @@ def read_table(spark: SparkSession, path: str, spread_by: Sequence[str] = ()) ->
     return rows.repartition(spark.sparkContext.defaultParallelism, *spread_by)
 
 
-def _map_entries(spark: SparkSession, path: str, value: T.DataType) -> DataFrame:
-    """Files that hold one JSON object each: one row per entry (key, value, file)."""
-    whole = spark.read.text(path, wholetext=True).withColumn("file", F.col("_metadata.file_path"))
-    parsed = F.from_json("value", T.MapType(T.StringType(), value))
-    return whole.select("file", F.explode(parsed).alias("key", "value"))
-
-
 def read_corpus(
     spark: SparkSession, path: str, layout: str = "map", record: T.StructType = PASSAGE
 ) -> DataFrame:
     """Passages as (key, record fields).
 
-    ``map`` reads JSON objects keyed by id, one task per file; ``lines`` and ``parquet`` are the
-    layouts to keep a large corpus in, as they split.
+    ``map`` reads JSON objects keyed by id, however large (``objects.read_entries``); ``lines`` and
+    ``parquet`` take one pass instead of two.
     """
     if layout == "map":
-        return _map_entries(spark, path, record).select("key", "value.*")
+        return read_entries(spark, path, record).select("key", "value.*")
     keyed = T.StructType([T.StructField("key", T.StringType()), *record.fields])
     if layout == "lines":
         return spark.read.schema(keyed).json(path)
@@ -130,11 +124,11 @@ def _nbest_rows(entries: DataFrame, pattern: str) -> DataFrame:
     ).select("model", "weight", "id", (F.col("_at") + 1).alias("rank"), "entry.*")
 
 
-def read_nbest(spark: SparkSession, path: str) -> DataFrame:
+def read_nbest(spark: SparkSession, path: str, pattern: str = r"(\d+)[^/]*\.json$") -> DataFrame:
     """n-best files that map question id to candidates; ``70.json`` stands for a weight of 0.70."""
-    entries = _map_entries(spark, path, T.ArrayType(NBEST_ENTRY))
+    entries = read_entries(spark, path, T.ArrayType(NBEST_ENTRY))
     named = entries.select("file", F.col("key").alias("id"), F.col("value").alias("nbest"))
-    return _nbest_rows(named, r"(\d+)[^/]*\.json$")
+    return _nbest_rows(named, pattern)
 
 
 def read_nbest_lines(

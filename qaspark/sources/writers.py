@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 from qaspark.plans.order import row_index
 from qaspark.session import materialize
@@ -30,6 +31,30 @@ def write_shards(
     sliced.write.mode(mode).partitionBy("shard").json(path)
 
 
+def _as_object(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of one task: an opening brace, entries after the first with a comma, a closing brace."""
+    lead = "{"
+    for batch in batches:
+        entries = batch.column(0).to_pylist()
+        if entries:
+            lines = [lead + entries[0], *["," + one for one in entries[1:]]]
+            lead = ","
+            yield pa.RecordBatch.from_pydict({"value": lines})
+    yield pa.RecordBatch.from_pydict({"value": ["}" if lead == "," else "{}"]})
+
+
+def write_objects(df: DataFrame, path: str, key: str, value: Column, mode: str = "error") -> None:
+    """A folder of files that are one JSON object each, from ``key`` to ``value``; a file per task.
+
+    ``objects.read_entries`` reads them back. A null key has no form in JSON and raises.
+    """
+    named = F.coalesce(F.col(key).cast("string"), F.raise_error(F.lit("an entry without a key")).cast("string"))
+    entry = F.to_json(F.create_map(named, value))
+    inner = F.substring(entry, F.lit(2), F.length(entry) - 2)
+    lines = df.select(inner.alias("value")).mapInArrow(_as_object, "value string")
+    lines.write.mode(mode).text(path)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     """CSV with a header and no index column; quotes inside values are doubled, blanks at their ends stay."""
     df.write.mode(mode).csv(
