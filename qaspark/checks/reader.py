@@ -4,21 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from qaspark.checks.sparse import SQL_JOINED, bm25_topk, passages
 from qaspark.checks.tables import (
+    BLANK,
     SQL_CORPUS,
     SQL_QA,
     corpus,
     qa,
+    questions,
     sql_hash,
     sql_tokens,
 )
-from qaspark.operators import chunks as ch, decode, ensemble as vote, losses, metrics, prepare, stats
+from qaspark.operators import answer, chunks as ch, decode, ensemble as vote, losses, metrics, prepare, stats
 from qaspark.plans.broadcasts import union_all
 from qaspark.plans.order import row_index
 from qaspark.session import scratch_path, store
 from qaspark.sources import readers, writers
 
 MAX_LEN, OVERLAP = 96, 32
+OPEN_LEN, OPEN_OVERLAP = 512, 256
 MODELS = ["70", "65", "60"]  # stand for runs of that accuracy; weight = number / 100
 SPECIAL_IDS = {ch.PAD: 0, ch.UNKNOWN: 1, ch.CLS: 2, ch.SEP: 3}
 
@@ -199,6 +203,30 @@ def scored_chunks_unmasked(spark, folder, model="70"):
     )
 
 
+def _open_answers(spark, folder):
+    return answer.answer_questions(
+        questions(spark, folder),
+        passages(spark, folder),
+        lambda asked: bm25_topk(spark, folder),
+        lambda features: with_logits(features, "70"),
+        OPEN_LEN,
+        OPEN_OVERLAP,
+    )
+
+
+def open_answers(spark, folder):
+    """Answers to all questions out of the whole corpus: retrieved, read, decoded."""
+    rows = _open_answers(spark, folder)
+    return rows.select("qid", "prediction_text", F.size("nbest").alias("n_listed"), F.md5("context").alias("context_md5"))
+
+
+def open_scores(spark, folder):
+    """The same answers against the question's own words."""
+    gold = questions(spark, folder).select("qid", F.col("question").alias("text"))
+    rows = answer.score_answers(_open_answers(spark, folder), gold)
+    return rows.withColumn("f1", F.round("f1", 6))
+
+
 def _decoded_runs(spark, folder):
     """Every model's answers; the features are made once and kept."""
     features = store(ch.with_feature_offsets(labelled(spark, folder)), "features")
@@ -236,13 +264,13 @@ QUERIES = {
     for f in (
         chunk_windows, token_offsets, label_align, test_chunks, pad_mask, candidate_sets, pair_text,
         label_pos_hist, span_decode, max_context_decode, null_decode, empty_fallback,
-        nbest_softmax, squad_em, squad_f1, reader_loss, nbest_scan, ensemble_vote, ensemble_nbest,
+        nbest_softmax, squad_em, squad_f1, reader_loss, open_answers, open_scores, nbest_scan, ensemble_vote, ensemble_nbest,
     )
 }
 
 
-def _sql_chunks(max_len=MAX_LEN, overlap=OVERLAP):
-    return f"""{SQL_QA},
+def _sql_chunks(max_len=MAX_LEN, overlap=OVERLAP, source=SQL_QA):
+    return f"""{source},
     sized as (select id, question, n, answer_start, answer_start + length(answer_text) as answer_end,
       len({sql_tokens('question')}) as q, {max_len} - 3 - len({sql_tokens('question')}) as room,
       least({overlap}, ({max_len} - 3 - len({sql_tokens('question')})) // 2) as ov from qa),
@@ -270,7 +298,7 @@ def _logit(side):
     return f"({sql_hash(f'''concat_ws('|', model, id, chunk_no, '{side}', p)''')} % 2001 - 1000) / 64.0"
 
 
-def _sql_decode(models=("70",), n=20, longest=30, where="", null=False):
+def _sql_decode(models=("70",), n=20, longest=30, where="", null=False, chunks=None):
     listed = ", ".join(f"'{m}'" for m in models)
     extra = (
         """union all select model, id, 0, 0, 0, 1, sl, el, 0, 0, low from (select model, id, start_logit as sl,
@@ -279,7 +307,7 @@ def _sql_decode(models=("70",), n=20, longest=30, where="", null=False):
         if null
         else ""
     )
-    return f"""{_sql_chunks()},
+    return f"""{chunks or _sql_chunks()},
     logits as materialized (select *, cast({_logit('s')} as double) as start_logit,
       cast({_logit('e')} as double) as end_logit
       from positions cross join (select unnest([{listed}]) as model)),
@@ -325,13 +353,7 @@ def _norm(text):
     return sql_tokens(bare)
 
 
-_METRICS = rf"""{SQL_QA},
-words as (select id, question, answer_text, turn, regexp_split_to_array(context, '[ \t\n]+') as w from qa),
-told as (select id, {_norm("array_to_string(w[greatest(len(w) // 2 - turn % 3, 0) + 1:greatest(len(w) // 2 - turn % 3, 0) + 2], ' ')")} as p
-  from words),
-refs as (select id, 1 as ref, {_norm('answer_text')} as r from qa union all
-  select id, 2, {_norm('question')} from qa),
-pc as (select id, t, count(*) as c from (select id, unnest(p) as t from told) group by all),
+_MATCHES = """pc as (select id, t, count(*) as c from (select id, unnest(p) as t from told) group by all),
 rc as (select id, ref, t, count(*) as c from (select id, ref, unnest(r) as t from refs) group by all),
 same as (select rc.id, rc.ref, sum(least(pc.c, rc.c)) as n from rc join pc on pc.id = rc.id and pc.t = rc.t group by all),
 scored as (select refs.id, case when array_to_string(p, ' ') = array_to_string(r, ' ') then 1.0 else 0.0 end as em,
@@ -339,6 +361,30 @@ scored as (select refs.id, case when array_to_string(p, ' ') = array_to_string(r
   from refs join told using (id) left join same on same.id = refs.id and same.ref = refs.ref),
 best as (select id, max(em) as exact_match, max(f1) as f1 from scored group by id)"""
 
+_METRICS = rf"""{SQL_QA},
+words as (select id, question, answer_text, turn, regexp_split_to_array(context, '[ \t\n]+') as w from qa),
+told as (select id, {_norm("array_to_string(w[greatest(len(w) // 2 - turn % 3, 0) + 1:greatest(len(w) // 2 - turn % 3, 0) + 2], ' ')")} as p
+  from words),
+refs as (select id, 1 as ref, {_norm('answer_text')} as r from qa union all
+  select id, 2, {_norm('question')} from qa),
+{_MATCHES}"""
+
+# the questions with their retrieved contexts in place of the dialogues
+_OPEN = f"""pairs as materialized (select qid as id, question, context from (
+  with {SQL_JOINED} select qid, question, context from joined)),
+cut as (select id, {sql_tokens('context')} as words, regexp_extract_all(' ' || context || ' ', '{BLANK}+') as gaps
+  from pairs),
+pieces as (select id, unnest(words) as token, unnest(gaps[:len(words)]) as gap, generate_subscripts(words, 1) as pos
+  from cut),
+offsets as materialized (select id, pos, token, s, s + length(token) as e from (
+  select id, pos, token, sum(length(gap) + length(token)) over w - length(token) - 1 as s
+  from pieces window w as (partition by id order by pos))),
+counted as (select id, max(pos) as n from offsets group by id),
+qa as (select p.id, p.question, p.context, coalesce(c.n, 0) as n, 0 as answer_start, '' as answer_text
+  from pairs p left join counted c on c.id = p.id)"""
+
+_OPEN_ANSWERS = _sql_decode(chunks=_sql_chunks(OPEN_LEN, OPEN_OVERLAP, _OPEN))
+
 
 def _sql_vote(value, several, n):
     return f"""votes as (select id, text, count(*) as listed, sum({value}) as total from (
@@ -421,6 +467,14 @@ SQL = {
           from logits l join labels_at a using (id, chunk_no) group by 1, 2)
         select round(avg(s), 6) as start_loss, round(avg(e), 6) as end_loss,
           round((avg(s) + avg(e)) / 2, 6) as loss from ce""",
+    "open_answers": f"""with {_OPEN_ANSWERS}, listed as (select id, count(*) as n_listed from final group by id)
+        select f.id as qid, f.text as prediction_text, n_listed, md5(context) as context_md5
+        from final f join listed using (id) join qa using (id) where rank = 1""",
+    "open_scores": f"""with {_OPEN_ANSWERS},
+        told as (select id, {_norm('text')} as p from final where rank = 1),
+        refs as (select id, 1 as ref, {_norm('question')} as r from qa), {_MATCHES}
+        select f.id as qid, f.text as prediction_text, exact_match, round(f1, 6) as f1
+        from final f join best using (id) where rank = 1""",
     "nbest_scan": f"""with {_sql_decode(MODELS)} select model, cast(model as integer) / 100 as weight, id, rank,
         text, round(probability, 6) as probability from final""",
     "ensemble_vote": f"""with {_sql_decode(MODELS)}, {_VOTE[0]} select id, text, round(score, 6) as score {_VOTE[1]}""",

@@ -106,9 +106,13 @@ def context_concat(spark, folder):
 
 
 def attach_gold(spark, folder):
-    gold = table(spark, folder, "documents").select(F.col("doc_id").alias("qid"), "text", "source")
-    names = {"text": "original_context", "source": "original_title"}
-    return ops.attach_gold(_answered(spark, folder), gold, "qid", names)
+    """Users' questions with what the corpus gives for them, and the context they were asked in."""
+    asked = dialogue_pairs(spark, folder).select(F.col("id").alias("qid"), "question", "context", "conv_id")
+    docs = passages(spark, folder)
+    hits = bm25.retrieve(asked.select("qid", "question"), bm25.build_index(docs), K)
+    answers = ops.concat_context(ops.attach_text(hits, docs), asked.select("qid", "question"))
+    names = {"context": "original_context", "conv_id": "original_title"}
+    return ops.attach_gold(answers, asked, "qid", names)
 
 
 def recall_at_k(spark, folder):
@@ -185,6 +189,9 @@ _JOINED = """joined as (select q.qid, q.question, coalesce(string_agg(p.text, '
   from questions q left join hits h using (qid) left join passages p using (doc_id) group by 1, 2)"""
 
 
+SQL_JOINED = f"{_BM25}, {_JOINED}"
+
+
 def _tfidf(bigrams=True):
     grams = "toks" if not bigrams else """(select * from toks union all
       select doc_id, term || ' ' || nxt from (select doc_id, term, lead(term) over (
@@ -225,10 +232,11 @@ SQL = {
         select doc_id, round(score, 6) as score, text from hits join passages using (doc_id)""",
     "index_reuse": f"with {_BM25} select qid, doc_id, round(score, 6) as score, rank from hits",
     "attach_text": f"with {_BM25} select qid, rank, doc_id, text from hits join passages using (doc_id)",
-    "context_concat": f"with {_BM25}, {_JOINED} select qid, question, context from joined",
-    "attach_gold": f"""with {_BM25}, {_JOINED} select j.qid, j.question, j.context,
-        d.text as original_context, d.source as original_title
-        from joined j left join documents d on d.doc_id = j.qid""",
+    "context_concat": f"with {SQL_JOINED} select qid, question, context from joined",
+    "attach_gold": f"""with {_INDEX}, {SQL_PAIRS}, asked as (select id as qid, question from pairs), {_scored(source='asked')},
+        {_JOINED.replace('from questions q', 'from asked q')}
+        select j.qid, j.question, j.context, p.context as original_context, p.conv_id as original_title
+        from joined j left join pairs p on p.id = j.qid""",
     "recall_at_k": f"""with {_BM25}, ks as (select unnest([1, 5, 10]) as k),
         joined as (select q.qid, q.question, k, coalesce(string_agg(p.text, ' ' order by h.rank), '') as context
           from questions q cross join ks left join hits h on h.qid = q.qid and h.rank <= k
