@@ -7,6 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from qaspark.functions.bind import let
@@ -14,7 +18,8 @@ from qaspark.functions.text import title_tag
 from qaspark.functions.tokens import Scheme, space_offsets, tokenize
 from qaspark.functions.vectors import hash_int
 from qaspark.operators.corpus import attach_text, sample_negatives
-from qaspark.plans.broadcasts import broadcast_if_small
+from qaspark.plans.broadcasts import BLOCK_BYTES, split_blocks
+from qaspark.session import materialize
 
 MAX_LEN, OVERLAP, SPECIALS = 512, 256, 3
 PAD, UNKNOWN, CLS, SEP = "[PAD]", "[UNK]", "[CLS]", "[SEP]"
@@ -105,6 +110,46 @@ def feature_tokens(question: Column, tokens: Column, scheme: Scheme = "space") -
     )
 
 
+def _known_ids(words: pa.Array, ids: pa.Array):
+    """Fills what is still null in the second column with the ids of the first column's tokens."""
+
+    @F.pandas_udf("array<int>")
+    def fill(tokens: pd.Series, found: pd.Series) -> pd.Series:
+        lengths = tokens.map(len).to_numpy()
+        if not lengths.sum():
+            return found
+        flat = pa.array(np.concatenate(tokens.tolist()), pa.string(), from_pandas=True)
+        earlier = pa.array(np.concatenate([np.asarray(row, dtype=float) for row in found]), from_pandas=True)
+        looked = ids.take(pc.index_in(flat, value_set=words))
+        whole = pc.coalesce(pc.cast(earlier, pa.int32()), looked).to_pylist()
+        ends = np.cumsum(lengths)
+        return pd.Series([whole[end - size : end] for size, end in zip(lengths, ends)], dtype=object)
+
+    return fill
+
+
+def look_up(
+    df: DataFrame, tokens: str, vocabulary: DataFrame, special_ids: Mapping[str, int], limit: int = BLOCK_BYTES
+) -> DataFrame:
+    """Add ``_ids``, the id of each token in place, null for unknown ones.
+
+    Rows stay where they are: the vocabulary goes to them in parts of about ``limit`` bytes, each one more
+    pass inside the row, so tokens are never shuffled however common they are. Token arrays are not null.
+    """
+    known = vocabulary.filter(F.col("token").isNotNull()).groupBy("token").agg(
+        F.min("token_id").cast("int").alias("token_id")
+    )
+    marks = F.create_map(*[F.lit(x) for pair in special_ids.items() for x in pair])
+    first = F.transform(tokens, lambda token: F.try_element_at(marks, token).cast("int"))
+    df = df.withColumn("_ids", first)
+    for part in split_blocks(materialize(known), "token", limit):
+        table = part.toArrow().combine_chunks()  # no larger than a broadcast
+        if table.num_rows:
+            words, ids = (table.column(c).combine_chunks() for c in ("token", "token_id"))
+            df = df.withColumn("_ids", _known_ids(words.cast(pa.string()), ids)(F.col(tokens), F.col("_ids")))
+    return df
+
+
 def encode_pad(
     chunks: DataFrame,
     vocabulary: DataFrame,
@@ -115,20 +160,15 @@ def encode_pad(
 ) -> DataFrame:
     """(key…, input_ids, attention_mask) from (key…, question, tokens) and (token, token_id).
 
-    Padded to ``length``, or to the next multiple. Tokens without an id get the unknown one.
+    Padded to ``length``, or to the next multiple. Tokens without an id, or with a null one, get the unknown
+    one; special tokens go before the vocabulary; of a repeated token the smallest id counts. A chunk without
+    question or tokens (null) has no row.
     """
-    known = broadcast_if_small(vocabulary.select("token", "token_id"))
-    marks = F.create_map(*[F.lit(x) for pair in special_ids.items() for x in pair])
-    placed = chunks.select(
-        *key, F.posexplode(feature_tokens(F.col("question"), F.col("tokens"))).alias("at", "token")
-    )
-    token_id = F.coalesce(marks[F.col("token")], "token_id", F.lit(special_ids[UNKNOWN]))
-    # a feature holds a bounded number of tokens
-    ordered = F.sort_array(F.collect_list(F.struct("at", token_id.alias("token_id"))))
-    ids = (
-        placed.join(known, "token", "left")
-        .groupBy(*key)
-        .agg(ordered.getField("token_id").alias("ids"))
+    tokens = feature_tokens(F.col("question"), F.col("tokens"))
+    placed = chunks.select(*key, tokens.alias("_tokens")).filter(F.col("_tokens").isNotNull())
+    ids = look_up(placed, "_tokens", vocabulary, special_ids)
+    ids = ids.select(
+        *key, F.transform("_ids", lambda one: F.coalesce(one, F.lit(special_ids[UNKNOWN]))).alias("ids")
     )
     size = F.size("ids")
     target = F.lit(length) if length else (F.ceil(size / multiple) * multiple).cast("int")

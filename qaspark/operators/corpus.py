@@ -10,6 +10,7 @@ from qaspark.functions.vectors import hash_int
 from qaspark.operators.prepare import conform
 from qaspark.plans.broadcasts import broadcast_if_small, union_all
 from qaspark.plans.order import row_index
+from qaspark.plans.skewed import join_hot
 from qaspark.plans.topk import top_n
 from qaspark.session import materialize
 
@@ -77,8 +78,20 @@ def split_holdout(df: DataFrame, key: str, parts: int = 10, seed: str = "0") ->
 
 
 def split_prefix(df: DataFrame, order: Sequence[str], rows: int) -> DataFrame:
-    """Flag the first ``rows`` rows under ``order`` as ``in_prefix``."""
-    return row_index(df, order).withColumn("in_prefix", F.col("row_no") < rows)
+    """Flag the first ``rows`` rows under the total order ``order`` as ``in_prefix``.
+
+    Only keys are put in order; the last one inside is found and every row compares itself with it. Nulls
+    come first.
+    """
+    if rows < 1:
+        return df.withColumn("in_prefix", F.lit(False))
+    keys = row_index(df.select(*order), order)
+    last = keys.filter(F.col("row_no") == rows - 1).drop("row_no").first()
+    if last is None:
+        return df.withColumn("in_prefix", F.lit(True))
+    kinds = dict(df.dtypes)
+    cut = F.struct(*[F.lit(last[name]).cast(kinds[name]).alias(name) for name in order])
+    return df.withColumn("in_prefix", F.struct(*order) <= cut)
 
 
 def sample_rows(
@@ -89,13 +102,16 @@ def sample_rows(
     if not replace:
         hashed = df.withColumn("_hash", hash_int(F.concat(F.lit(f"{seed}:"), F.col(key))))
         return top_n(hashed, [F.col("_hash"), F.col(key)], n, [key]).drop("_hash")
-    numbered = row_index(df, [key], "_row")
-    size = df.count()
+    numbered = row_index(df.select(key), [key], "_row")
+    size = numbered.count()
+    if not size:
+        return df.withColumn("draw", F.lit(None).cast("long"))
     draws = spark.range(n).select(
         F.col("id").alias("draw"),
         (hash_int(F.concat(F.lit(f"{seed}:"), F.col("id"))) % size).alias("_row"),
     )
-    return numbered.join(draws, "_row").drop("_row")
+    drawn = broadcast_if_small(materialize(numbered.join(draws, "_row").drop("_row")))
+    return df.join(drawn, key)
 
 
 def sample_negatives(
@@ -112,7 +128,8 @@ def sample_negatives(
     Passages are numbered in (title, id) order, so one title is one interval of numbers and all
     the others are what is left of the number line. That rest is cut into ``n`` equal strata and
     one passage is drawn by hash from each: no repeats, no rejected draws, no pair of a question
-    with every passage. Fewer than ``n`` others: all of them.
+    with every passage. Fewer than ``n`` others: all of them. A title that many questions share meets its
+    interval by broadcast.
     """
     numbered = row_index(corpus.select(title, doc_id), [title, doc_id], "_slot")
     spans = numbered.groupBy(title).agg(
@@ -122,8 +139,7 @@ def sample_negatives(
     rest = F.lit(size) - F.col("_own")
     strata = F.least(F.lit(n).cast("long"), F.col("_rest"))
     draws = (
-        questions.select(question_id, title)
-        .join(spans, title, "left")
+        join_hot(questions.select(question_id, title), spans, title)
         .fillna(0, ["_from", "_own"])
         .withColumn("_rest", rest)
         .filter("_rest > 0")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -49,20 +51,26 @@ def filter_qa(
 
 
 def assign_ids(
-    df: DataFrame, prefix: str, order: Sequence[str], file_no: str = "file_no", name: str = "id"
+    df: DataFrame, prefix: str, order: Sequence[str], file_no: str | None = "file_no", name: str = "id"
 ) -> DataFrame:
     """``prefix-FF-NNNNNN``: file number and running row number over all files, zero-padded.
 
-    Numbers that outgrow their width keep all their digits.
+    Without ``file_no``, ``prefix-NNNNNN``. Numbers that outgrow their width keep all their digits. The columns
+    of ``order`` are a key of the rows; only they are put in order, and the numbers are joined back.
     """
 
     def padded(number: Column, width: int) -> Column:
         digits = number.cast("string")
         return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
 
-    return row_index(df, order, "_row").withColumn(
-        name, F.concat_ws("-", F.lit(prefix), padded(F.col(file_no), 2), padded(F.col("_row"), 6))
-    ).drop("_row")
+    places = row_index(df.select(*order), order, "_row").select(
+        *[F.col(c).alias(f"_{i}") for i, c in enumerate(order)], "_row"
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(order)]
+    numbered = df.join(places, reduce(and_, same)).drop(*[f"_{i}" for i in range(len(order))])
+    parts = [padded(F.col(file_no), 2)] if file_no else []
+    made = F.concat_ws("-", F.lit(prefix), *parts, padded(F.col("_row"), 6))
+    return numbered.withColumn(name, made).drop("_row")
 
 
 def conform(df: DataFrame, schema: T.StructType, rename: Mapping[str, str] | None = None) -> DataFrame:
