@@ -175,11 +175,11 @@ def rank_documents(
     lists = forward.select(
         F.col("doc_id").cast("long").alias("doc_id"), "length", F.col("terms.term").alias("words"), F.col("terms.tf").alias("counts")
     )
+    given = None if vocabulary is None else vocabulary.select("term", "idf").toPandas()  # once for all blocks
     parts = []
     for block in split_blocks(store(asked, "asked"), "qid", block_bytes):
         rows = block.select("qid", "term", "idf", "qweight").toPandas()  # at most a block
-        known = rows[["term", "idf"]].drop_duplicates("term")
-        known = known if vocabulary is None else vocabulary.select("term", "idf").toPandas()
+        known = rows[["term", "idf"]].drop_duplicates("term") if given is None else given
         words = pa.array(known["term"], pa.string())
         idf = known["idf"].to_numpy()
         shared = context.broadcast((_as_arrays(rows, known["term"].tolist()), words, idf))
