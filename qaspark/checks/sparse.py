@@ -14,13 +14,14 @@ from qaspark.checks.tables import (
     sql_tokens,
     table,
 )
-from qaspark.operators import bm25, corpus as ops, inverted, tfidf
+from qaspark.operators import bm25, corpus as ops, inverted, sparse_cells, tfidf
 from qaspark.operators.prepare import tokenize_rows
 from qaspark.operators.quality import recall_at_k as recall
-from qaspark.session import scratch_path
+from qaspark.session import scratch_path, store
 from qaspark.sources.index_store import IndexStore, fingerprint
 
 K = 10
+N_CELLS, CELL_TERMS, N_PROBE = 16, 64, 4
 PROBE = "the whst onen of thention and erre"
 
 
@@ -80,14 +81,14 @@ def bm25_lists(spark, folder):
 
 def index_reuse(spark, folder):
     docs = passages(spark, folder)
-    store = IndexStore(spark, scratch_path(spark, "store"))
+    kept = IndexStore(spark, scratch_path(spark, "store"))
     mark = fingerprint(docs, "doc_id", "text", scheme="space", lower=False)
-    store.get_or_build(mark, lambda: bm25.index_tables(docs))
+    kept.get_or_build(mark, lambda: bm25.index_tables(docs))
 
     def stale():
         raise AssertionError("the stored index was not found")
 
-    index = bm25.open_index(store.get_or_build(mark, stale))
+    index = bm25.open_index(kept.get_or_build(mark, stale))
     return bm25.retrieve(questions(spark, folder), index, K)
 
 
@@ -138,6 +139,28 @@ def tfidf_topk(spark, folder):
     return tfidf.retrieve(questions(spark, folder), model, K)
 
 
+def _sparse_cells(spark, folder):
+    model = tfidf.fit(passages(spark, folder))
+    vocabulary = sparse_cells.numbered_terms(model)
+    vectors = store(sparse_cells.corpus_vectors(model, vocabulary), "vectors")
+    # one round over all rows, so that SQL can follow
+    return model, vocabulary, vectors, sparse_cells.train(vectors, N_CELLS, CELL_TERMS, iterations=1, sample=None)
+
+
+def sparse_assign(spark, folder):
+    """Cell of every passage over sparse TF-IDF vectors, centroids cut to their heaviest terms."""
+    _, _, vectors, centroids = _sparse_cells(spark, folder)
+    placed = sparse_cells.assign(vectors, centroids)
+    return placed.select("doc_id", "cell", F.round("similarity", 6).alias("similarity"))
+
+
+def sparse_ivf(spark, folder):
+    """TF-IDF search within the most similar cells, from the stored index."""
+    model, vocabulary, vectors, centroids = _sparse_cells(spark, folder)
+    asked = sparse_cells.question_vectors(questions(spark, folder), model, vocabulary)
+    return sparse_cells.search(asked, sparse_cells.build(vectors, centroids), K, N_PROBE)
+
+
 def oov_questions(spark, folder):
     model = tfidf.fit(passages(spark, folder), bigrams=False)
     words = tokenize_rows(dialogue_pairs(spark, folder), "id", "question")
@@ -150,7 +173,7 @@ QUERIES = {
     for f in (
         bm25_term_stats, bm25_idf, bm25_scores, bm25_topk, bm25_lists, bm25_subset, bm25_single, index_reuse,
         attach_text, context_concat, attach_gold, recall_at_k, tfidf_vocab, tfidf_weights,
-        tfidf_topk, oov_questions,
+        tfidf_topk, sparse_assign, sparse_ivf, oov_questions,
     )
 }
 
@@ -217,7 +240,46 @@ _TFIDF_HITS = f"""qwords as (select qid, {sql_tokens('lower(question)')} as w fr
   scored as (select qid, doc_id, round(sum(weight * qweight), 12) as score from qw join docw using (term) group by all),
   ranked as (select *, row_number() over (partition by qid order by score desc, doc_id) as rank from scored)"""
 
+
+def _cell_terms(sums, name):
+    """The heaviest terms of (cell, term, weight) sums, normalised."""
+    return f"""{name}_top as (select cell, term, weight from (select *, row_number() over (
+      partition by cell order by weight desc, term) as place from (
+      select cell, term, round(sum(weight), 12) as weight from {sums} group by all)) where place <= {CELL_TERMS}),
+    {name} as materialized (select cell, term, weight / sqrt(sum(weight * weight) over (partition by cell)) as weight
+      from {name}_top)"""
+
+
+def _nearest_cells(key, rows, vectors, weight, centroids, name):
+    """(key, cell, similarity, place): every cell by similarity, then number."""
+    return f"""{name} as materialized (select *, row_number() over (partition by {key} order by similarity desc, cell) as place
+      from (select {key}, cell, coalesce(similarity, 0) as similarity
+        from (select {key}, unnest(range({N_CELLS})) as cell from {rows}) e left join (
+          select v.{key}, c.cell, round(sum(v.{weight} * c.weight), 12) as similarity
+          from {vectors} v join {centroids} c using (term) group by all) s using ({key}, cell)))"""
+
+
+_CELLS = f"""{_tfidf()},
+  seeds as (select doc_id, row_number() over (order by md5(cast(doc_id as varchar)), doc_id) - 1 as cell
+    from (select distinct doc_id from docw) order by cell limit {N_CELLS}),
+  seeded as (select cell, term, weight from docw join seeds using (doc_id)),
+  {_cell_terms("seeded", "first_cells")},
+  {_nearest_cells("doc_id", "passages", "docw", "weight", "first_cells", "placed_once")},
+  moved as (select cell, term, weight from docw join (select doc_id, cell from placed_once where place = 1) using (doc_id)),
+  {_cell_terms("moved", "moved_cells")},
+  centroids as materialized (select * from moved_cells union all
+    select * from first_cells where cell not in (select cell from moved_cells)),
+  {_nearest_cells("doc_id", "passages", "docw", "weight", "centroids", "placed_docs")}"""
+
 SQL = {
+    "sparse_assign": f"""with {_CELLS} select doc_id, cell, round(similarity, 6) as similarity
+        from placed_docs where place = 1""",
+    "sparse_ivf": f"""with {_CELLS}, {_TFIDF_HITS.split("ranked as")[0].rstrip().rstrip(",")},
+        {_nearest_cells("qid", "questions", "qw", "qweight", "centroids", "placed_questions")},
+        near as (select s.* from scored s join (select doc_id, cell from placed_docs where place = 1) d using (doc_id)
+          join (select qid, cell from placed_questions where place <= {N_PROBE}) q using (qid, cell)),
+        ranked as (select *, row_number() over (partition by qid order by score desc, doc_id) as rank from near)
+        select qid, doc_id, round(score, 6) as score, rank from ranked where rank <= {K}""",
     "bm25_term_stats": f"""with {_INDEX} select l.doc_id, l.length, coalesce(t.n_terms, 0) as n_terms,
         n as documents, round(mean_length, 6) as mean_length
         from lens l left join (select doc_id, count(*) as n_terms from tf group by 1) t using (doc_id), facts""",
