@@ -24,6 +24,7 @@ from qaspark.sources import readers, writers
 MAX_LEN, OVERLAP = 96, 32
 OPEN_LEN, OPEN_OVERLAP = 512, 256
 MODELS = ["70", "65", "60"]  # stand for runs of that accuracy; weight = number / 100
+NBEST_ROWS = 64  # questions of a named file
 SPECIAL_IDS = {ch.PAD: 0, ch.UNKNOWN: 1, ch.CLS: 2, ch.SEP: 3}
 
 
@@ -251,6 +252,15 @@ def nbest_scan(spark, folder):
     return rows.select("model", "weight", "id", "rank", "text", F.round("probability", 6).alias("probability"))
 
 
+def nbest_files(spark, folder):
+    """As ``nbest_scan``, through files of the models' names, one JSON object each."""
+    path = scratch_path(spark, "named")
+    for model, decoded in _decoded_runs(spark, folder):
+        writers.write_nbest_files(decoded, f"{path}/{model}", model, NBEST_ROWS)
+    rows = readers.read_nbest(spark, f"{path}/*/*.json")
+    return rows.select("model", "weight", "id", "rank", "text", F.round("probability", 6).alias("probability"))
+
+
 def ensemble_vote(spark, folder):
     return vote.ensemble(_runs(spark, folder)).select("id", "text", "score")
 
@@ -264,7 +274,7 @@ QUERIES = {
     for f in (
         chunk_windows, token_offsets, label_align, test_chunks, pad_mask, candidate_sets, pair_text,
         label_pos_hist, span_decode, max_context_decode, null_decode, empty_fallback,
-        nbest_softmax, squad_em, squad_f1, reader_loss, open_answers, open_scores, nbest_scan, ensemble_vote, ensemble_nbest,
+        nbest_softmax, squad_em, squad_f1, reader_loss, open_answers, open_scores, nbest_scan, nbest_files, ensemble_vote, ensemble_nbest,
     )
 }
 
@@ -477,6 +487,8 @@ SQL = {
         from final f join best using (id) where rank = 1""",
     "nbest_scan": f"""with {_sql_decode(MODELS)} select model, cast(model as integer) / 100 as weight, id, rank,
         text, round(probability, 6) as probability from final""",
+    "nbest_files": f"""with {_sql_decode(MODELS)} select model, cast(model as integer) / 100 as weight, id, rank,
+        text, round(probability, 6) as probability from final""",
     "ensemble_vote": f"""with {_sql_decode(MODELS)}, {_VOTE[0]} select id, text, round(score, 6) as score {_VOTE[1]}""",
     "ensemble_nbest": f"""with {_sql_decode(MODELS)}, {_VOTE_N[0]} select id, rank, text, round(score, 6) as score {_VOTE_N[1]}""",
 }
