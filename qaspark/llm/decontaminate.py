@@ -17,6 +17,7 @@ struct whose name is a parameter.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ from qaspark.plans.broadcasts import split_blocks
 from qaspark.session import materialize
 
 WINDOW = 10
-ITEM_BYTES = 8 << 20
+ITEM_BYTES = 4 << 20  # about 100 MB of automaton a MB in each Python worker
 WORD = byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 HITS = (
     "struct<n_words:int,spans:array<struct<first:int,last:int,start:int,end:int>>,items:array<string>>"
@@ -36,44 +37,64 @@ HITS = (
 
 
 class Automaton:
-    """Suffix automaton of several word sequences, with marks on the states that end a window."""
+    """Suffix automaton of several word sequences, with marks on the states that end a window.
+
+    Almost every state has one arc, so a state is a place in flat arrays: its first arc, its suffix
+    link, its length; only further arcs are in a dictionary. Marks are kept sorted, in runs of one
+    state and window size.
+    """
 
     def __init__(self, window: int):
         self.window = window
-        self.arcs: list[dict[int, int]] = [{}]
-        self.link, self.length = [-1], [0]
-        self.marks: dict[int, dict[int, set[int]]] = {}
+        self.word, self.to = array("i", [-2]), array("i", [-1])  # -2: no arc
+        self.more: dict[int, dict[int, int]] = {}
+        self.link, self.length = array("i", [-1]), array("i", [0])
+        self.found: tuple[array, array, array] = array("i"), array("i"), array("i")
+
+    def _next(self, state: int, word: int) -> int | None:
+        if self.word[state] == word:
+            return self.to[state]
+        rest = self.more.get(state)
+        return None if rest is None else rest.get(word)
+
+    def _lead(self, state: int, word: int, to: int) -> None:
+        if self.word[state] in (word, -2):
+            self.word[state], self.to[state] = word, to
+        else:
+            self.more.setdefault(state, {})[word] = to
 
-    def _state(self, length: int, arcs: dict[int, int], link: int) -> int:
-        self.arcs.append(arcs)
-        self.length.append(length)
-        self.link.append(link)
-        return len(self.arcs) - 1
+    def _state(self, length: int, link: int) -> int:
+        for column, value in ((self.word, -2), (self.to, -1), (self.length, length), (self.link, link)):
+            column.append(value)
+        return len(self.word) - 1
 
     def _split(self, at: int, word: int, old: int) -> int:
         """A copy of ``old`` for the shorter strings, which end in more places."""
-        copy = self._state(self.length[at] + 1, dict(self.arcs[old]), self.link[old])
+        copy = self._state(self.length[at] + 1, self.link[old])
+        self.word[copy], self.to[copy] = self.word[old], self.to[old]
+        if old in self.more:
+            self.more[copy] = dict(self.more[old])
         self.link[old] = copy
-        while at >= 0 and self.arcs[at].get(word) == old:
-            self.arcs[at][word] = copy
+        while at >= 0 and self._next(at, word) == old:
+            self._lead(at, word, copy)
             at = self.link[at]
         return copy
 
     def add(self, words: list[int]) -> None:
         last = 0
         for word in words:
-            known = self.arcs[last].get(word)
+            known = self._next(last, word)
             if known is not None:
                 exact = self.length[known] == self.length[last] + 1
                 last = known if exact else self._split(last, word, known)
                 continue
-            new = self._state(self.length[last] + 1, {}, 0)
+            new = self._state(self.length[last] + 1, 0)
             at = last
-            while at >= 0 and word not in self.arcs[at]:
-                self.arcs[at][word] = new
+            while at >= 0 and self._next(at, word) is None:
+                self._lead(at, word, new)
                 at = self.link[at]
             if at >= 0:
-                old = self.arcs[at][word]
+                old = self._next(at, word)
                 exact = self.length[old] == self.length[at] + 1
                 self.link[new] = old if exact else self._split(at, word, old)
             last = new
@@ -89,34 +110,54 @@ class Automaton:
         size = min(self.window, len(words))
         state = 0
         for at, word in enumerate(words, 1):
-            state = self.arcs[state][word]
+            state = self._next(state, word)
             if at >= size:
-                ends = self._shorten(state, size)
-                self.marks.setdefault(ends, {}).setdefault(size, set()).add(item)
+                for column, value in zip(self.found, (self._shorten(state, size), size, item)):
+                    column.append(value)
 
     def finish(self) -> None:
-        """Nearest marked state on each suffix path, itself included; -1: none."""
-        order = sorted(range(len(self.arcs)), key=self.length.__getitem__)
-        self.marked = [-1] * len(self.arcs)
-        for state in order:
-            up = self.link[state]
-            self.marked[state] = state if state in self.marks else self.marked[up] if up >= 0 else -1
-
-    def stream(self, words: list[int]) -> Iterator[tuple[int, int, set[int]]]:
+        """Sort the marks; nearest marked state on each suffix path, itself included; -1: none."""
+        state, size, item = (np.frombuffer(column, np.int32) for column in self.found)
+        order = np.lexsort((item, size, state))
+        state, size, item = state[order], size[order], item[order]
+        fresh = np.ones(len(state), bool)
+        fresh[1:] = (state[1:] != state[:-1]) | (size[1:] != size[:-1]) | (item[1:] != item[:-1])
+        state, size, self.items = state[fresh], size[fresh], item[fresh]
+        run = np.ones(len(state), bool)
+        run[1:] = (state[1:] != state[:-1]) | (size[1:] != size[:-1])
+        begins = np.flatnonzero(run)
+        self.run_begin = array("i", [*begins.tolist(), len(state)])
+        self.run_size = array("i", size[begins].tolist())
+        self.first_run = array("i", [-1]) * len(self.word)
+        self.run_state = array("i", state[begins].tolist())
+        for at in range(len(begins) - 1, -1, -1):
+            self.first_run[self.run_state[at]] = at
+        self.found = array("i"), array("i"), array("i")
+        self.marked = array("i", [-1]) * len(self.word)
+        for one in np.argsort(np.frombuffer(self.length, np.int32), kind="stable").tolist():
+            up = self.link[one]
+            self.marked[one] = one if self.first_run[one] >= 0 else self.marked[up] if up >= 0 else -1
+
+    def stream(self, words: list[int]) -> Iterator[tuple[int, int, list[int]]]:
         """(first word, last word, items) of each window that occurs."""
         state = length = 0
         for at, word in enumerate(words):
-            while state and word not in self.arcs[state]:
+            to = self._next(state, word)
+            while to is None and state:
                 state = self.link[state]
                 length = self.length[state]
-            if word in self.arcs[state]:
-                state = self.arcs[state][word]
+                to = self._next(state, word)
+            if to is not None:
+                state = to
                 length += 1
             ends = self.marked[state]
             while ends >= 0:
-                for size, items in self.marks[ends].items():
+                run = self.first_run[ends]
+                while run < len(self.run_state) and self.run_state[run] == ends:
+                    size = self.run_size[run]
                     if size <= length:
-                        yield at - size + 1, at, items
+                        yield at - size + 1, at, self.items[self.run_begin[run] : self.run_begin[run + 1]].tolist()
+                    run += 1
                 up = self.link[ends]
                 ends = self.marked[up] if up >= 0 else -1
 
@@ -132,25 +173,24 @@ class Matcher:
         starts, ends, owner = words_of(content, offsets, WORD)
         folded = self.fold[content].tobytes()
         self.vocabulary: dict[bytes, int] = {}
-        sequences: list[list[int]] = [[] for _ in items]
-        for a, b, item in zip(starts.tolist(), ends.tolist(), owner.tolist(), strict=True):
-            word = self.vocabulary.setdefault(folded[a:b], len(self.vocabulary))
-            sequences[item].append(word)
+        numbers = np.empty(len(starts), np.int64)
+        for n, (a, b) in enumerate(zip(starts, ends, strict=True)):
+            numbers[n] = self.vocabulary.setdefault(folded[a:b], len(self.vocabulary))
         self.names = [name for name, _ in items]
         self.automaton = Automaton(window)
-        for words in sequences:
-            self.automaton.add(words)
-        pairs = set()
-        for item, words in enumerate(sequences):
-            self.automaton.mark(words, item)
-            pairs.update(zip(words, words[1:]))
+        bounds = np.searchsorted(owner, np.arange(len(items) + 1))
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            self.automaton.add(numbers[a:b].tolist())
+        for item, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+            self.automaton.mark(numbers[a:b].tolist(), item)
         self.automaton.finish()
-        self.shortest = min((min(window, len(words)) for words in sequences if words), default=0)
+        sizes = np.diff(bounds)
+        self.shortest = min(window, int(sizes[sizes > 0].min())) if len(starts) else 0
         hashes = self.hash(content, starts, ends)
         self.hashes, where = np.unique(hashes, return_index=True)
-        numbers = np.array([w for words in sequences for w in words], np.int64)
         self.numbers = numbers[where]
-        self.pairs = np.array(sorted(a * len(self.vocabulary) + b for a, b in pairs), np.int64)
+        beside = owner[1:] == owner[:-1]
+        self.pairs = np.unique((numbers[:-1] * len(self.vocabulary) + numbers[1:])[beside])
 
     def _pieces(self, content, starts, ends, owner) -> tuple[np.ndarray, np.ndarray]:
         """(first, last + 1) of the runs of words whose neighbours are pairs of some item."""
@@ -185,7 +225,7 @@ class Matcher:
             for a, b, items in self.automaton.stream(words):
                 spans, named = hits.setdefault(int(owner[begin]), ([], set()))
                 spans.append((begin + a, begin + b))
-                named |= items
+                named.update(items)
         for text, (spans, named) in hits.items():
             base, place = int(first[text]), int(offsets[text])
             found[text]["spans"] = [

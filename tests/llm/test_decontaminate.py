@@ -93,3 +93,28 @@ def test_query(spark):
     for row, (n, hit, names) in zip(rows, expected, strict=True):
         digest = hashlib.sha256(",".join(names).encode()).hexdigest()
         assert tuple(row)[1:] == (n, hit, len(names), digest, hit > 0)
+
+
+def test_flat_automaton_knows_every_stretch_and_no_other():
+    rng = random.Random(6)
+    for letters in (2, 3, 40):
+        items = [[rng.randrange(letters) for _ in range(rng.choice([1, 3, 12, 30]))] for _ in range(12)]
+        one = dec.Automaton(4)
+        for item in items:
+            one.add(item)
+        for n, item in enumerate(items):
+            one.mark(item, n)
+        one.finish()
+        wanted = {}
+        for n, item in enumerate(items):
+            size = min(4, len(item))
+            for at in range(len(item) - size + 1):
+                wanted.setdefault(tuple(item[at : at + size]), set()).add(n)
+        text = [rng.randrange(-1, letters) for _ in range(300)] + items[0] + items[1]
+        got = {(a, b): set(found) for a, b, found in one.stream(text)}
+        want = {}
+        for key, names in wanted.items():
+            for at in range(len(text) - len(key) + 1):
+                if tuple(text[at : at + len(key)]) == key:
+                    want[at, at + len(key) - 1] = names
+        assert got == want
