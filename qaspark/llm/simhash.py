@@ -14,8 +14,8 @@ Fingerprints that share a key are compared bit by bit. Equal fingerprints are on
 start, so exact copies meet nowhere. The fingerprints of a key are not paired with each other: a
 key's linked groups are found by a search that compares each fingerprint only with those not reached
 yet, and one link per fingerprint leaves the task. A key with more than ``GROUP`` fingerprints is
-split by pigeonhole again: five parts of the fingerprint, one of which has to agree, then one of ten
-pairs of six parts. Components of the links are then found by label contraction, stored each round.
+split by pigeonhole again: five parts of the fingerprint, one of which has to agree, then one of fifteen
+pairs of six parts, and beyond 32 times ``GROUP`` one of seventy fours of eight parts. Components of the links are then found by label contraction, stored each round.
 
 Rows: null and empty texts have no words and fingerprint zero, which links like any other; a text
 with fewer words than a shingle is one shingle; rows with the same id are separate rows of one label;
@@ -24,7 +24,7 @@ a null id takes part, but is never the smallest id unless all are null. Columns
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -40,6 +40,9 @@ SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
 GROUP = 2048
+# (parts, parts without an error, groups a key may be large before it is split so): four errors leave one of
+# five parts alone, two of six, four of eight; seventy keys a print cost more than comparing up to 65536
+SPLITS = ((5, 1, 1), (6, 2, 1), (8, 4, 32))
 WORD = ~byte_class((0x09, 0x0D), (0x20, 0x20))
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
 SEGMENT = (1 << 23) - 1
@@ -238,7 +241,9 @@ def _part_keys(parts: int, choose: int) -> list[Column]:
     return [F.xxhash64("key", F.lit(n), *some) for n, some in enumerate(combinations(pieces, choose))]
 
 
-def find_links(distinct: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP) -> DataFrame:
+def find_links(
+    distinct: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP, splits: Sequence[tuple[int, int, int]] = SPLITS
+) -> DataFrame:
     """(a, b): links that connect what is at most ``max_bits`` apart; ``distinct`` has one ``fp``.
 
     ``max_bits`` up to four.
@@ -257,19 +262,19 @@ def find_links(distinct: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP
 
     level = distinct.mapInArrow(expand, "key long, fp long")
     found = []
-    # one of five parts has no error; of six parts, two have none
-    for split in (_part_keys(5, 1), _part_keys(6, 2), None):
+    for parts, choose, size in (*splits, (0, 0, 0)):
+        limit = size * group if parts else None
         settled = store(
             level.repartition("key")
             .sortWithinPartitions("key")
-            .mapInArrow(_link_groups(max_bits, group if split else None), "a long, b long, large boolean"),
+            .mapInArrow(_link_groups(max_bits, limit), "a long, b long, large boolean"),
             "links",
         )
         found.append(settled.filter("not large").select("a", "b"))
         large = settled.filter("large").select(F.col("a").alias("key"), F.col("b").alias("fp"))
-        if not split or not large.take(1):
+        if not parts or not large.take(1):
             break
-        level = large.select(F.explode(F.array(*split)).alias("key"), "fp")
+        level = large.select(F.explode(F.array(*_part_keys(parts, choose))).alias("key"), "fp")
     return union_all(found).distinct()
 
 

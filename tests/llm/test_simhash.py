@@ -5,6 +5,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
+from pyspark.sql import functions as F
+
 from qaspark.llm import simhash
 
 
@@ -91,3 +93,32 @@ def test_no_rows_and_repeated_rows(spark):
     docs = spark.createDataFrame([(1, "a b c d e"), (1, "a b c d e"), (None, "q")], "doc_id long, text string")
     assert sorted(simhash.keep_one(docs).collect(), key=str) == sorted(docs.distinct().collect(), key=str)
     assert simhash.keep_one(docs.limit(0)).collect() == []
+
+
+def test_parts_split_a_large_key_without_losing_a_link(spark):
+    rng = random.Random(8)
+    prints = [rng.getrandbits(64)]
+    for _ in range(40):  # a chain; every step is at the limit
+        one = prints[-1]
+        for bit in rng.sample(range(64), 4):
+            one ^= 1 << bit
+        prints.append(one)
+    signed = [one - (1 << 64) * (one >> 63) for one in prints]
+    distinct = spark.createDataFrame([(one,) for one in signed], "fp long")
+    assert all(parts - choose == simhash.MAX_BITS for parts, choose, _ in simhash.SPLITS)
+    # each level alone: prints of neighbours share a key, whatever the four bits are
+    pairs = spark.createDataFrame(list(enumerate(zip(signed, signed[1:]))), "n long, two struct<_1:long,_2:long>")
+    for parts, choose, _ in simhash.SPLITS:
+        rows = pairs.select("n", F.explode(F.array("two._1", "two._2")).alias("fp")).withColumn("key", F.col("n"))
+        keys = rows.select("n", "fp", F.explode(F.array(*simhash._part_keys(parts, choose))).alias("k"))
+        met = keys.groupBy("n", "k").agg(F.count_distinct("fp").alias("prints")).filter("prints = 2")
+        assert met.select("n").distinct().count() == len(prints) - 1
+    # the finest level right after the first keys, whatever their size
+    found = simhash.find_links(distinct, group=1, splits=((8, 4, 1),)).collect()
+    near = {one: {one} for one in signed}
+    for r in found:
+        union = near[r.a] | near[r.b]
+        for one in union:
+            near[one] = union
+    assert near[signed[0]] == set(signed)
+    assert all(bin((r.a ^ r.b) & (1 << 64) - 1).count("1") <= 4 for r in found)
