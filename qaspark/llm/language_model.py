@@ -38,6 +38,7 @@ from qaspark.session import store
 
 MASS = 200.0
 BLOCK_BYTES = 12 << 20  # of text per block; there are as many shards as blocks
+BATCH_BYTES, BATCH_ROWS = 1 << 20, 4096  # of an Arrow batch of requests or answers
 WORD = ~byte_class((0x09, 0x0D), (0x20, 0x20))
 END, START = np.uint64(0xE2D), np.uint64(0x57A27)
 SCORES = T.StructType(
@@ -173,16 +174,28 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> dict[int, list[pa.RecordBatch]
     return found
 
 
+def _batches(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    """Rows with binary values in batches of about ``BATCH_BYTES``."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(value) for value in row.values() if isinstance(value, bytes))
+        if size >= BATCH_BYTES or len(held) >= BATCH_ROWS:
+            yield pa.RecordBatch.from_pylist(held)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held)
+
+
 def _requests(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHash(fold_case(), 31)
         for number, rows in _gather(batches).items():
             trained = np.concatenate([r.column("trained").to_numpy(zero_copy_only=False) for r in rows])
             block = Block([r.column("text") for r in rows], hasher, shards)
-            for shard, *columns in block.requests(trained.astype(float)):
-                yield pa.RecordBatch.from_pydict(
-                    dict(zip(("shard", "block", "words", "word_n", "grams", "gram_n"), ([x] for x in (shard, number, *columns))))
-                )
+            names = "shard", "block", "words", "word_n", "grams", "gram_n"
+            sent = block.requests(trained.astype(float))
+            yield from _batches(dict(zip(names, (shard, number, *columns))) for shard, *columns in sent)
 
     return run
 
@@ -203,10 +216,10 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sums = int(totals.sum()), int((totals > 0).sum())
             bounds = np.cumsum([0, *map(len, sent)])
             answers.append([pack(totals[place[a:b]]) for a, b in zip(bounds[:-1], bounds[1:])])
-        for n, row in enumerate(rows):
-            yield pa.RecordBatch.from_pydict(
-                {"block": [row["block"]], "shard": [shard], "words": [answers[0][n]], "grams": [answers[1][n]], "tokens": [sums[0] * (n == 0)], "distinct": [sums[1] * (n == 0)]}
-            )
+        yield from _batches(
+            {"block": row["block"], "shard": shard, "words": answers[0][n], "grams": answers[1][n], "tokens": sums[0] * (n == 0), "distinct": sums[1] * (n == 0)}
+            for n, row in enumerate(rows)
+        )
 
 
 def score(

@@ -68,3 +68,12 @@ def test_pack():
     values = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 500, np.uint64) * np.uint64(2))
     assert (lm.unpack_sorted(lm.pack_sorted(values)) == values).all()
     assert len(lm.unpack(lm.pack(values[:0]))) == 0
+
+
+def test_requests_travel_in_batches():
+    rows = [{"block": n, "words": bytes(300_000 if n % 3 == 0 else 10)} for n in range(20)]
+    batches = list(lm._batches(iter(rows)))
+    assert [one for batch in batches for one in batch.to_pylist()] == rows
+    assert 1 < len(batches) < 6 and list(lm._batches(iter([]))) == []
+    many = list(lm._batches({"block": n, "words": b""} for n in range(2 * lm.BATCH_ROWS + 1)))
+    assert [b.num_rows for b in many] == [lm.BATCH_ROWS, lm.BATCH_ROWS, 1]
