@@ -83,17 +83,29 @@ def qa_json_roundtrip(spark, folder):
 
 
 def longdoc_scan(spark, folder):
-    """Whole pages as long documents; the context comes back as a digest, so every character counts."""
+    """Whole pages as long documents; the context comes back as a digest, so every character counts.
+
+    The turns of the conversation that has the page's number are its further questions, all of them.
+    """
     pages = table(spark, folder, "pages")
     answer = F.struct(F.col("url").alias("text"), F.lit(0).alias("answer_start"))
     one = F.struct(F.col("page_id").cast("string").alias("id"), F.col("url").alias("question"), answer.alias("answer"))
-    other = F.struct(F.lit("-").alias("id"), F.lit("-").alias("question"), answer.alias("answer"))
+    spoken = (
+        table(spark, folder, "conversations")
+        .groupBy(F.col("conv_id").alias("page_id"))  # the turns of one conversation
+        .agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).getField("text").alias("turns"))
+    )
+    others = F.transform(
+        F.coalesce("turns", F.array().cast("array<string>")),
+        lambda text: F.struct(F.lit("-").alias("id"), text.alias("question"), answer.alias("answer")),
+    )
     doc = F.struct(
         "page_id", F.col("url").alias("title"), F.col("html").alias("context"),
-        F.array(one, other).alias("qas"),
+        F.concat(F.array(one), others).alias("qas"),
     )
     files = (
-        pages.withColumn("file_no", F.floor(F.col("page_id") / FILE_ROWS))
+        pages.join(spoken, "page_id", "left")
+        .withColumn("file_no", F.floor(F.col("page_id") / FILE_ROWS))
         .groupBy("file_no")
         .agg(F.sort_array(F.collect_list(doc)).alias("docs"))
         .withColumn("data", F.transform("docs", lambda d: d.dropFields("page_id")))
@@ -105,6 +117,9 @@ def longdoc_scan(spark, folder):
         F.col("file_no").cast("long").alias("file_no"),
         F.col("doc_no").cast("long").alias("doc_no"),
         "title", "question_id", "question", "answer_text", F.md5("context").alias("context_md5"),
+        F.length("context").cast("long").alias("n"),
+        F.size("others").cast("long").alias("n_asked"),
+        F.array_join("others", "\n").alias("asked"),
     )
 
 
@@ -361,10 +376,12 @@ SQL = {
     "split_scan": f"with {_FLAGGED} select doc_id, title, text from flagged where split = 'validation'",
     "qa_json_roundtrip": f"""with {SQL_QA} select id, question, context, answer_text,
         cast(answer_start as bigint) as answer_start from qa""",
-    "longdoc_scan": f"""select page_id // {FILE_ROWS} as file_no,
-        row_number() over (partition by page_id // {FILE_ROWS} order by page_id) - 1 as doc_no,
-        url as title, cast(page_id as varchar) as question_id, url as question, url as answer_text,
-        md5(html) as context_md5 from pages""",
+    "longdoc_scan": f"""select p.page_id // {FILE_ROWS} as file_no,
+        row_number() over (partition by p.page_id // {FILE_ROWS} order by p.page_id) - 1 as doc_no,
+        p.url as title, cast(p.page_id as varchar) as question_id, p.url as question, p.url as answer_text,
+        md5(p.html) as context_md5, length(p.html) as n, coalesce(c.n_asked, 0) as n_asked, coalesce(c.asked, '') as asked
+        from pages p left join (select conv_id, count(*) as n_asked, string_agg(text, chr(10) order by turn, text) as asked
+          from conversations group by conv_id) c on c.conv_id = p.page_id""",
     "squad_scan": f"""with {SQL_QA} select id, id as title, context, question, answer_text,
         cast(answer_start as bigint) as answer_start from qa
         union all select 'x' || id, id, context, 'again: ' || question, answer_text,

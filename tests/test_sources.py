@@ -107,6 +107,16 @@ def test_long_document_query_gives_whole_pages(spark):
     assert got == {str(p.page_id): (p.url, p.url, p.url, hashlib.md5(p.html.encode()).hexdigest()) for p in pages}
 
 
+def test_long_document_query_carries_the_conversations(spark, tmp_path):
+    spark.createDataFrame([(1, "u1", "<p>"), (2, "u2", "<li>x")], "page_id long, url string, html string").write.parquet(
+        f"{tmp_path}/pages.parquet"
+    )
+    turns = [(1, 1, "assistant", 'b "quoted"'), (1, 0, "user", "a"), (3, 0, "user", "no page")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.question_id: (r.question, r.n, r.n_asked, r.asked) for r in corpora.longdoc_scan(spark, str(tmp_path)).collect()}
+    assert got == {"1": ("u1", 3, 2, 'a\nb "quoted"'), "2": ("u2", 5, 0, "")}
+
+
 def test_nbest_weights_come_from_file_names(spark, tmp_path, rows):
     entry = {"text": "x", "start_logit": 1.0, "end_logit": 2.0, "probability": 0.5}
     dump(tmp_path / "70.json", {"q": [entry, {**entry, "text": "y"}]})
