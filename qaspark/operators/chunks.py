@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
@@ -113,17 +112,12 @@ def feature_tokens(question: Column, tokens: Column, scheme: Scheme = "space") -
 def _known_ids(words: pa.Array, ids: pa.Array):
     """Fills what is still null in the second column with the ids of the first column's tokens."""
 
-    @F.pandas_udf("array<int>")
-    def fill(tokens: pd.Series, found: pd.Series) -> pd.Series:
-        lengths = tokens.map(len).to_numpy()
-        if not lengths.sum():
-            return found
-        flat = pa.array(np.concatenate(tokens.tolist()), pa.string(), from_pandas=True)
-        earlier = pa.array(np.concatenate([np.asarray(row, dtype=float) for row in found]), from_pandas=True)
-        looked = ids.take(pc.index_in(flat, value_set=words))
-        whole = pc.coalesce(pc.cast(earlier, pa.int32()), looked).to_pylist()
-        ends = np.cumsum(lengths)
-        return pd.Series([whole[end - size : end] for size, end in zip(lengths, ends)], dtype=object)
+    @F.arrow_udf("array<int>")
+    def fill(tokens: pa.Array, found: pa.Array) -> pa.Array:
+        looked = ids.take(pc.index_in(pc.cast(tokens.flatten(), pa.string()), value_set=words))
+        ends = np.cumsum(tokens.value_lengths().to_numpy(zero_copy_only=False))
+        offsets = pa.array(np.concatenate(([0], ends)), pa.int32())
+        return pa.ListArray.from_arrays(offsets, pc.coalesce(found.flatten(), looked))
 
     return fill
 
