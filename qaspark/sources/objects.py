@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from qaspark.plans.broadcasts import split_blocks, union_all
-from qaspark.session import materialize, store
+from qaspark.session import bound_batches, materialize, store
 
 HEAD, MIDDLE, TAIL, WHOLE = range(4)
 
@@ -153,6 +153,7 @@ def _batch(found: list[tuple[str, int, int, str]]) -> Iterator[pa.RecordBatch]:
 
 def _entries(spark: SparkSession, path: str, separator: str) -> DataFrame:
     """(file, entry): the texts between the commas of the outermost level."""
+    bound_batches(spark)
     pieces = spark.read.text(path, lineSep=separator).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),

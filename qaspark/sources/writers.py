@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from qaspark.plans.order import row_index
-from qaspark.session import materialize
+from qaspark.session import bound_batches, materialize
 from qaspark.sources.named import write_named
 from qaspark.sources.schemas import QA
 
@@ -69,6 +69,7 @@ def write_objects(df: DataFrame, path: str, key: str, value: Column, mode: str =
 
     ``objects.read_entries`` reads them back. A null key has no form in JSON and raises.
     """
+    bound_batches(df.sparkSession)
     lines = df.select(_inner(key, value).alias("value")).mapInArrow(_as_object, "value string")
     lines.write.mode(mode).text(path)
 
