@@ -24,6 +24,7 @@ from qaspark.sources import readers, writers
 MAX_LEN, OVERLAP = 96, 32
 OPEN_LEN, OPEN_OVERLAP = 512, 256
 MODELS = ["70", "65", "60"]  # stand for runs of that accuracy; weight = number / 100
+TASK_CHUNKS = 1 << 15
 NBEST_ROWS = 64  # questions of a named file
 SPECIAL_IDS = {ch.PAD: 0, ch.UNKNOWN: 1, ch.CLS: 2, ch.SEP: 3}
 
@@ -231,6 +232,8 @@ def open_scores(spark, folder):
 def _decoded_runs(spark, folder):
     """Every model's answers; the features are made once and kept."""
     features = store(ch.with_feature_offsets(labelled(spark, folder)), "features")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-features.count() // TASK_CHUNKS))
+    features = features.repartition(tasks, "id")  # a chunk gives up to 20 candidates, which are ordered in the task
     examples = store(_examples(spark, folder), "examples")
     for model in MODELS:
         yield model, decode.decode_spans(with_logits(features, model), examples)

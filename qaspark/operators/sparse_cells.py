@@ -271,8 +271,14 @@ class _Some:
     def __init__(self, best: BestK, numbers: np.ndarray, ids: list[np.ndarray], weights: list[np.ndarray]):
         self.best, self.numbers = best, numbers.tolist()
         sizes = [len(ids[n]) for n in self.numbers]
-        terms = np.concatenate([ids[n] for n in self.numbers]).astype(np.int64)
-        self.asked = numbers, np.cumsum([0, *sizes]), terms, np.concatenate([weights[n] for n in self.numbers])
+        heavy = [np.argsort(-weights[n], kind="stable") for n in self.numbers]  # terms that decide come first
+        terms = np.concatenate([ids[n][order] for n, order in zip(self.numbers, heavy)]).astype(np.int64)
+        shares = np.concatenate([weights[n][order] for n, order in zip(self.numbers, heavy)])
+        self.asked = numbers, np.cumsum([0, *sizes]), terms, shares
+
+    @property
+    def worst(self) -> np.ndarray:
+        return self.best.worst[self.numbers]
 
     def offer(self, question: int, cost: np.ndarray, ids: np.ndarray) -> None:
         self.best.offer(self.numbers[question], cost, ids)
