@@ -271,9 +271,10 @@ class _Some:
     def __init__(self, best: BestK, numbers: np.ndarray, ids: list[np.ndarray], weights: list[np.ndarray]):
         self.best, self.numbers = best, numbers.tolist()
         sizes = [len(ids[n]) for n in self.numbers]
-        heavy = [np.argsort(-weights[n], kind="stable") for n in self.numbers]  # terms that decide come first
-        terms = np.concatenate([ids[n][order] for n, order in zip(self.numbers, heavy)]).astype(np.int64)
-        shares = np.concatenate([weights[n][order] for n, order in zip(self.numbers, heavy)])
+        # a row's lists come as arrays or as plain lists; the terms that decide are put first
+        heavy = [np.argsort(-np.asarray(weights[n], np.float64), kind="stable") for n in self.numbers]
+        terms = np.concatenate([np.asarray(ids[n], np.int64)[order] for n, order in zip(self.numbers, heavy)])
+        shares = np.concatenate([np.asarray(weights[n], np.float64)[order] for n, order in zip(self.numbers, heavy)])
         self.asked = numbers, np.cumsum([0, *sizes]), terms, shares
 
     @property
