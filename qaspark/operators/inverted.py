@@ -3,8 +3,8 @@
 Layout: documents are dealt by hash to shards of about ``SHARD`` documents. A row is a part of a term's
 list inside a shard: up to ``BLOCK`` postings in order of impact (the share of a score that does not
 depend on the question), with the best impact as its bound. A term that stands in every document is
-spread over all shards like any other. Rows are partitioned by term bucket and sorted by term, so a
-search reads the buckets of its terms and skips row groups; ``stats`` has each term's best impact.
+spread over all shards like any other. Rows are partitioned by term bucket, and a file, which holds a few
+shards, is sorted by term; a search reads the buckets of its terms. ``stats`` has each term's best impact.
 
 A search brings the parts of the asked terms together by shard (postings of other terms are never read,
 documents never moved) and scores each shard in one task against a broadcast block of questions. A
@@ -27,14 +27,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from qaspark.operators.bm25 import B, K1, Bm25Index, question_weights
-from qaspark.operators.termindex import RANK_DIGITS, postings, rank_pairs
+from qaspark.operators.termindex import RANK_DIGITS, rank_pairs
 from qaspark.plans.bestk import BestK
 from qaspark.plans.broadcasts import BLOCK_BYTES, broadcast_if_small, split_blocks, union_all
-from qaspark.session import materialize, scratch_path, store
+from qaspark.session import bound_batches, materialize, scratch_path, store
 
 SHARD = 4096
 BLOCK = 256
 BUCKETS = 64
+_TOGETHER = 4  # shards of a task, so files do not get too small
+_ROWS = 1 << 14  # rows handed on together
 SLACK = 1e-9  # sums in another order differ by less
 
 
@@ -50,30 +52,75 @@ def _bucket(term: Column) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
 
 
+def _inverted(shard: int, given: pa.Table, mean_length: float, block: int) -> Iterator[pa.RecordBatch]:
+    """The rows of the lists of one shard, its documents given with their terms."""
+    given = given.combine_chunks()
+    lists, doc_ids, lengths = (given.column(c).combine_chunks() for c in ("words", "doc_id", "length"))
+    coded = lists.flatten().dictionary_encode()
+    codes = coded.indices.to_numpy()
+    of_doc = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
+    tf = given.column("counts").combine_chunks().flatten().to_numpy().astype(np.float64)
+    saturation = K1 * (1 - B + B * lengths.to_numpy().astype(np.float64) / mean_length)
+    impacts = tf * (K1 + 1) / (tf + saturation[of_doc])
+    falling = ~doc_ids.fill_null(np.iinfo(np.int64).min).to_numpy()[of_doc]
+    order = np.lexsort((falling, -impacts, codes))
+    impacts, of_doc = impacts[order], of_doc[order]
+    size = np.bincount(codes, minlength=len(coded.dictionary))
+    begin = np.cumsum(size) - size
+    cuts = -(-size // block)
+    term = np.repeat(np.arange(len(size)), cuts)
+    part = np.arange(len(term)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+    first = begin[term] + part * block
+    offsets = pa.array(np.append(first, len(codes)), pa.int32())
+    columns = {
+        "term": coded.dictionary.take(pa.array(term)),
+        "shard": pa.array(np.full(len(term), shard), pa.int32()),
+        "part": pa.array(part, pa.int32()),
+        "size": pa.array(np.minimum(begin[term] + size[term] - first, block), pa.int32()),
+        "bound": pa.array(impacts[first]),
+        "docs": pa.ListArray.from_arrays(offsets, doc_ids.take(pa.array(of_doc))),
+        "impacts": pa.ListArray.from_arrays(offsets, pa.array(impacts)),
+    }
+    rows = pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+    for at in range(0, rows.num_rows, _ROWS):
+        yield rows.slice(at, _ROWS)
+
+
 def list_parts(index: Bm25Index, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
-    """The rows of the lists, in the order they are stored in."""
+    """The rows of the lists, in the order they are stored in.
+
+    Documents move to their shard once, a row each; a shard is inverted in the task it came to, and its
+    postings stay there.
+    """
+    spark = index.forward.sparkSession
+    bound_batches(spark)
     shards = -(-max(index.documents, 1) // shard)
-    saturation = K1 * (1 - B + B * F.col("length") / index.mean_length)
-    impact = (F.col("tf") * (K1 + 1) / (F.col("tf") + saturation)).alias("impact")
-    dealt = postings(index.forward).select(
-        "term", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"),
-        F.struct(impact, F.col("doc_id").cast("long").alias("doc_id")).alias("one"),
-    )
-    # about ``shard`` postings at most, however common the term
-    lists = dealt.groupBy("term", "shard").agg(F.sort_array(F.collect_list("one"), asc=False).alias("all"))
-    parts = F.sequence(F.lit(0), ((F.size("all") - 1) / block).cast("int"))
-    cut = lists.select("term", "shard", "all", F.explode(parts).alias("part")).withColumn(
-        "some", F.slice("all", F.col("part") * block + 1, F.lit(block))
-    )
-    return (
-        cut.select(
-            _bucket(F.col("term")).alias("bucket"), "term", "shard", "part", F.size("some").alias("size"),
-            F.col("some")[0]["impact"].alias("bound"), F.col("some.doc_id").alias("docs"), F.col("some.impact").alias("impacts"),
-        )
-        .repartitionByRange("bucket", "term", "shard", "part")
-        .sortWithinPartitions("bucket", "term", "shard", "part")
+    mean_length = index.mean_length
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    dealt = index.forward.filter(F.size("terms") > 0).select(
+        F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"),
+        doc_id, "length", F.col("terms.term").alias("words"), F.col("terms.tf").alias("counts"),
     )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
+        for batch in batches:
+            numbers = batch.column("shard").to_numpy()
+            for at in np.flatnonzero(np.diff(numbers, prepend=-1)).tolist():
+                number = int(numbers[at])
+                if held and number != current:
+                    yield from _inverted(current, pa.Table.from_batches(held), mean_length, block)
+                    held = []
+                count = int(np.argmax(np.append(numbers[at:] != number, True)))
+                current, held = number, [*held, batch.slice(at, count)]
+        if held:
+            yield from _inverted(current, pa.Table.from_batches(held), mean_length, block)
+
+    tasks = max(spark.sparkContext.defaultParallelism, shards // _TOGETHER)
+    kind = "term string, shard int, part int, size int, bound double, docs array<long>, impacts array<double>"
+    rows = dealt.repartition(tasks, "shard").sortWithinPartitions("shard").mapInArrow(run, kind)
+    return rows.select(_bucket(F.col("term")).alias("bucket"), "*").sortWithinPartitions("bucket", "term", "shard", "part")
+
 
 def build_lists(index: Bm25Index, path: str | None = None, shard: int = SHARD, block: int = BLOCK) -> Lists:
     """Write the lists below ``path`` (by default the shared folder) and open them."""

@@ -78,3 +78,9 @@ def test_empty_tables(spark):
     index = bm25.build_index(docs)
     lists = inverted.build_lists(index)
     assert inverted.retrieve(asked.limit(0), index, lists, 3).count() == 0
+
+
+def test_postings_stay_in_the_task_of_their_shard(case):
+    _, index, _ = case
+    plan = inverted.list_parts(index, shard=200, block=16)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Aggregate" not in plan
