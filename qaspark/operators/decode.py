@@ -1,17 +1,23 @@
 """From start and end logits to n-best answers.
 
-Pairs are formed and cut to the n best inside each chunk's row, so a chunk hands on at most n rows,
+Pairs are formed and cut to the n best chunk by chunk, so a chunk hands on at most n rows,
 and an example at most n of them per task, however many chunks its context has.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from qaspark.functions.bind import let
 from qaspark.plans.topk import topk_per
+from qaspark.session import bound_batches
 
 N_BEST, MAX_ANSWER = 20, 30
+_CELLS = 1 << 20  # pairs looked at together
 
 # what a candidate is ordered by, then what it is made of
 _SPAN = ["cost", "no_answer", "chunk_no", "start_rank", "end_rank"]
@@ -19,45 +25,92 @@ _SPAN += ["start_logit", "end_logit", "s", "e"]
 _ENTRY = "array<struct<text:string,start_logit:double,end_logit:double,score:double>>"
 
 
-def _best_positions(logits: Column, n: int) -> Column:
-    """``array<struct<cost,pos,rank>>``: n largest logits, ties by position."""
-    costs = F.transform(logits, lambda x, i: F.struct((-x).alias("cost"), i.alias("pos")))
-    best = F.slice(F.sort_array(costs), 1, n)
-    return F.transform(best, lambda c, i: c.withField("rank", i))
-
-
-def _pairs(offsets: Column, max_context: Column | None, n: int, longest: int) -> Column:
-    """Valid (start, end) pairs of one chunk, best first, at most n."""
-
-    def in_context(positions: Column) -> Column:
-        return F.filter(positions, lambda c: F.get(offsets, c["pos"]).isNotNull())
-
-    def may_start(positions: Column) -> Column:
-        if max_context is None:
-            return positions
-        return F.filter(positions, lambda c: F.coalesce(F.get(max_context, c["pos"]), F.lit(False)))
-
-    def pair(s: Column, e: Column) -> Column:
-        return F.struct(
-            (s["cost"] + e["cost"]).alias("cost"),
-            s["rank"].alias("start_rank"),
-            e["rank"].alias("end_rank"),
-            (-s["cost"]).alias("start_logit"),
-            (-e["cost"]).alias("end_logit"),
-            F.get(offsets, s["pos"])["s"].alias("s"),
-            F.get(offsets, e["pos"])["e"].alias("e"),
-        )
-
-    def against(starts: Column, ends: Column) -> Column:
-        def reachable(s: Column) -> Column:
-            return F.filter(ends, lambda e: (e["pos"] - s["pos"]).between(0, longest - 1))
-
-        return F.transform(starts, lambda s: F.transform(reachable(s), lambda e: pair(s, e)))
-
-    starts = may_start(in_context(_best_positions(F.col("start_logits"), n)))
-    ends = in_context(_best_positions(F.col("end_logits"), n))
-    crossed = let(F.struct(starts.alias("s"), ends.alias("e")), lambda b: against(b["s"], b["e"]))
-    return F.slice(F.sort_array(F.flatten(crossed)), 1, n)
+def _best_positions(logits: pa.ListArray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, costs) of the n largest logits of each row, ties by position; position -1 where there are fewer."""
+    sizes = logits.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+    begin = np.cumsum(sizes) - sizes
+    costs = -logits.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    of_row = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((costs, of_row))  # stable, so ties stay by position
+    place = np.arange(len(order)) - begin[of_row]
+    near = place < n
+    at = order[near]
+    positions, best = np.full((len(sizes), n), -1, np.int64), np.zeros((len(sizes), n))
+    positions[of_row[near], place[near]] = at - begin[of_row[near]]
+    best[of_row[near], place[near]] = costs[at]
+    return positions, best
+
+
+def _looked_up(lists: pa.ListArray, positions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether there is such an element, its place in the flattened list) of positions by row."""
+    sizes = lists.value_lengths().fill_null(0).to_numpy().astype(np.int64)[:, None]
+    inside = (positions >= 0) & (positions < sizes)
+    begin = np.cumsum(sizes)[:, None] - sizes
+    return inside, np.where(inside, begin + positions, 0)
+
+
+def _elements(values: np.ndarray, inside: np.ndarray, at: np.ndarray, missing) -> np.ndarray:
+    return np.where(inside, values[at], missing) if len(values) else np.full(at.shape, missing)
+
+
+def _pairs(batch: pa.RecordBatch, n: int, longest: int) -> pa.RecordBatch:
+    """Valid (start, end) pairs of each row, best first, at most n."""
+    starts, start_costs = _best_positions(batch.column("start_logits"), n)
+    ends, end_costs = _best_positions(batch.column("end_logits"), n)
+    spans = batch.column("offsets")
+    flat = spans.flatten()
+    known = flat.is_valid().to_numpy(zero_copy_only=False)
+    first, last = (flat.field(name).fill_null(0).to_numpy() for name in ("s", "e"))
+    start_in, start_at = _looked_up(spans, starts)
+    end_in, end_at = _looked_up(spans, ends)
+    may_start = _elements(known, start_in, start_at, False)
+    may_end = _elements(known, end_in, end_at, False)
+    if "fresh" in batch.schema.names:
+        flags = batch.column("fresh")
+        allowed = flags.flatten().fill_null(False).to_numpy(zero_copy_only=False)
+        may_start &= _elements(allowed, *_looked_up(flags, starts), False)
+    length = ends[:, None, :] - starts[:, :, None]
+    valid = may_start[:, :, None] & may_end[:, None, :] & (length >= 0) & (length < longest)
+    # by row, then cost; what comes in order of both ranks stays so among equals
+    row, a, b = np.nonzero(valid)
+    cost = start_costs[row, a] + end_costs[row, b]
+    order = np.lexsort((cost, row))
+    row, a, b, cost = row[order], a[order], b[order], cost[order]
+    counts = np.bincount(row, minlength=batch.num_rows)
+    near = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) < n
+    row, a, b, cost = row[near], a[near], b[near], cost[near]
+    columns = {
+        "id": batch.column("id").take(pa.array(row)),
+        "no_answer": pa.array(np.zeros(len(row), np.int32)),
+        "chunk_no": batch.column("chunk_no").take(pa.array(row)),
+        "cost": pa.array(cost),
+        "start_rank": pa.array(a, pa.int32()),
+        "end_rank": pa.array(b, pa.int32()),
+        "start_logit": pa.array(-start_costs[row, a]),
+        "end_logit": pa.array(-end_costs[row, b]),
+        "s": pa.array(first[start_at[row, a]], pa.int32()),
+        "e": pa.array(last[end_at[row, b]], pa.int32()),
+    }
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+
+def _spans(features: DataFrame, n: int, longest: int, max_context: str | None) -> DataFrame:
+    """(id, no_answer, chunk_no, cost, ranks, logits, s, e): the pairs of every chunk."""
+    bound_batches(features.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, _CELLS // (n * n))
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                yield _pairs(batch.slice(at, step), n, longest)
+
+    flags = [F.col(max_context).alias("fresh")] if max_context else []
+    offsets = F.col("offsets").cast("array<struct<s:int,e:int>>").alias("offsets")
+    logits = [F.col(c).cast("array<double>").alias(c) for c in ("start_logits", "end_logits")]
+    given = features.select("id", F.col("chunk_no").cast("int"), offsets, *logits, *flags)
+    kind = features.schema["id"].dataType.simpleString()
+    ranks = "cost double, start_rank int, end_rank int, start_logit double, end_logit double, s int, e int"
+    return given.mapInArrow(run, f"id {kind}, no_answer int, chunk_no int, {ranks}")
 
 
 def _softmax(entries: Column) -> Column:
@@ -90,12 +143,7 @@ def decode_spans(
     and null outside the context; ``max_context`` names a boolean array saying where an answer may
     start. ``examples`` is (id, context); one without any valid span answers ``empty``.
     """
-    flags = F.col(max_context) if max_context else None
-    spans = features.select(
-        "id",
-        "chunk_no",
-        F.explode(_pairs(F.col("offsets"), flags, n_best, max_answer_len)).alias("p"),
-    ).select("id", F.lit(0).alias("no_answer"), "chunk_no", "p.*")
+    spans = _spans(features, n_best, max_answer_len, max_context)
     order = [F.col(c) for c in _SPAN[:5]]
     columns = ["id", *_SPAN]
     kept = topk_per(spans.select(*columns), "id", order, n_best, "_rank").drop("_rank")

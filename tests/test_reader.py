@@ -244,3 +244,31 @@ def test_narrow_limits_provoke_the_fallback(spark):
 def test_ensemble_ranks_beyond_six_digits(spark):
     nbest = spark.createDataFrame([("q", "a", 0.5, 1.0), ("q", "b", 0.5 + 1e-8, 1.0)], "id string, text string, probability double, weight double")
     assert [(r["text"], r["score"]) for r in vote.ensemble(nbest).collect()] == [("b", 0.5)]
+
+
+def test_pairs_and_logits_of_a_chunk_are_made_in_batches(spark):
+    kinds = f"id string, chunk_no int, offsets {OFFSETS}"
+    features = spark.createDataFrame([("q", 0, [(0, 1), None, (2, 3)])], kinds)
+    size = F.size("offsets")
+    logits = {f"{side}_logits": ch.hashed_logits(size, F.lit("m"), F.col("id"), F.col("chunk_no"), F.lit(side[0])) for side in ("start", "end")}
+    features = features.withColumns(logits)
+    import hashlib
+
+    def logit(side, at):
+        return (int(hashlib.md5(f"m|q|0|{side}|{at}".encode()).hexdigest()[:15], 16) % 2001 - 1000) / 64.0
+
+    got = features.select("start_logits", "end_logits").first()
+    assert [list(c) for c in got] == [[logit(side, at) for at in range(3)] for side in "se"]
+    examples = spark.createDataFrame([("q", "a b")], "id string, context string")
+    decoded = decode.decode_spans(features, examples)
+    plan = decoded._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+    assert spark.range(1).select(ch.hashed_logits(F.lit(None).cast("int"), F.lit("k"))).first()[0] is None
+
+
+def test_chunks_without_logits_or_offsets_give_no_pairs(spark):
+    kinds = f"id string, chunk_no int, offsets {OFFSETS}, start_logits array<double>, end_logits array<double>"
+    rows = [("q", 0, None, [1.0], [1.0]), ("q", 1, [(0, 1)], None, [1.0]), ("q", 2, [], [], []), ("r", 0, [(0, 1)], [2.0, 9.0], [3.0])]
+    examples = spark.createDataFrame([("q", "a"), ("r", "b")], "id string, context string")
+    decoded = decode.decode_spans(spark.createDataFrame(rows, kinds), examples)
+    assert sorted((r.id, r.prediction_text, len(r.nbest)) for r in decoded.collect()) == [("q", "empty", 1), ("r", "b", 1)]
