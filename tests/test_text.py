@@ -117,3 +117,11 @@ def test_token_profile(spark, rows):
     df = spark.createDataFrame([(1, "a-b 12")], "id int, t string")
     got = rows(prepare.token_length_profile(df, "id", "t"), "scheme")
     assert got == [(1, "piece", 5), (1, "space", 5), (1, "word", 4)]
+
+
+def test_offsets_are_made_in_batches(spark):
+    rows = spark.createDataFrame([(0, " é　b\tc"), (1, None), (2, "a")], "id int, text string")
+    spans = rows.select("id", space_offsets(F.col("text")).alias("spans"))
+    assert [[tuple(s) for s in r.spans] for r in spans.orderBy("id").collect()] == [[(1, 4), (5, 6)], [], [(0, 1)]]
+    plan = spans._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambda" not in plan
