@@ -206,13 +206,16 @@ def _summed(vectors: DataFrame, centroids: Centroids) -> DataFrame:
 def train(
     vectors: DataFrame, n_cells: int, top: int = TOP, iterations: int = 10, sample: int | None = SAMPLE
 ) -> Centroids:
-    """Spherical k-means on about ``sample`` rows per cell (all with None), chosen by hash of the id."""
+    """Spherical k-means on about ``sample`` rows per cell (all with None), chosen by hash of the id.
+
+    Each round reads the rows, so ``vectors`` is best given as stored rows; only a sample is stored here.
+    """
     rows = vectors
     if sample is not None:
         share = min(1.0, sample * n_cells / max(vectors.count(), 1))
         if share < 1.0:
-            rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    rows = store(rows, "sample")
+            chosen = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+            rows = store(chosen, "sample")
     centroids = seed_centroids(rows, n_cells, top)
     for _ in range(iterations):
         centroids = _centroids(_summed(rows, centroids), top, centroids)

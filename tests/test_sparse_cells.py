@@ -119,3 +119,13 @@ def test_nothing_to_make_cells_of(spark, case):
     with pytest.raises(ValueError):
         sparse_cells.train(vectors.filter("doc_id >= 120"), 3)
     assert sparse_cells.corpus_vectors(model, vocabulary).filter("false").count() == 0
+
+
+def test_all_rows_are_trained_on_where_they_are_stored(case, monkeypatch):
+    _, _, vectors = case
+    stored = []
+    monkeypatch.setattr(sparse_cells, "store", lambda rows, name: stored.append(name) or rows)
+    sparse_cells.train(vectors, 4, 10, iterations=1, sample=None)
+    assert stored == []
+    sparse_cells.train(vectors, 4, 10, iterations=1, sample=5)
+    assert stored == ["sample"]
