@@ -280,6 +280,10 @@ class _Some:
         shares = np.concatenate([np.asarray(weights[n], np.float64)[order] for n, order in zip(self.numbers, heavy)])
         self.asked = numbers, np.cumsum([0, *sizes]), terms, shares
 
+    @property
+    def k(self) -> int:
+        return self.best.k
+
     @property
     def worst(self) -> np.ndarray:
         return self.best.worst[self.numbers]
